@@ -89,10 +89,10 @@ def _decode(content: bytes) -> str:
     return content.decode("cp1252", "replace")
 
 
-def table_rows(content: bytes) -> list[list[str | None]]:
+def table_rows(content: bytes | str) -> list[list[str | None]]:
     """Rows of the first table with spans filled in; an empty cell is None."""
     parser = _FirstTable()
-    parser.feed(_decode(content))
+    parser.feed(content if isinstance(content, str) else _decode(content))
     parser.close()
     parser._end_cell()
     grid: list[list[str | None]] = []
@@ -123,34 +123,35 @@ def html_tables(
     documents: DataFrame,
     columns: Sequence[str],
     skip_rows: int,
-    key: str = "path",
+    keys: Sequence[str] = ("path",),
     content: str = "content",
 ) -> DataFrame:
     """Text cells of the first table of every document, one row per table row.
 
-    ``documents`` has a key and the bytes of the page. A page without a table or with
-    another number of columns fails the job, naming the page.
+    ``keys`` are the columns of a document that its rows keep; the first one names it. A page
+    without a table or with another number of columns fails the job with that name.
     """
-    names, width = list(columns), len(columns)
-    key_type = documents.schema[key].dataType
+    names, keys, width = list(columns), list(keys), len(columns)
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for page, data in zip(batch[key], batch[content], strict=True):
-                rows = table_rows(bytes(data))
+            for *page, data in batch[[*keys, content]].itertuples(index=False, name=None):
+                rows = table_rows(data if isinstance(data, str) else bytes(data))
                 if max((len(r) for r in rows), default=0) != width:
-                    raise ValueError(f"{page}: expected a table of {width} columns")
+                    raise ValueError(f"{page[0]}: expected a table of {width} columns")
                 body = [r + [None] * (width - len(r)) for r in rows[skip_rows:]]
                 out = pd.DataFrame(body, columns=names, dtype="object")
                 out.insert(0, "fila", range(1, len(out) + 1))
-                out.insert(0, key, page)
-                yield out
+                for k, v in zip(keys, page, strict=True):
+                    out[k] = v
+                yield out[[*keys, "fila", *names]]
 
     schema = T.StructType(
-        [T.StructField(key, key_type), T.StructField("fila", T.IntegerType())]
+        [documents.schema[k] for k in keys]
+        + [T.StructField("fila", T.IntegerType())]
         + [T.StructField(n, T.StringType()) for n in names]
     )
-    return documents.select(key, content).mapInPandas(extract, schema)
+    return documents.select(*keys, content).mapInPandas(extract, schema)
 
 
 def typed(
