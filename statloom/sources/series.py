@@ -39,7 +39,7 @@ def read_series(spark: SparkSession, folder: str) -> DataFrame:
 
 def observations(documents: DataFrame, origin: Column, ingested: Column) -> DataFrame:
     """One typed row per series and period. A series without observations yields no row."""
-    rows = documents.select("COD", "Nombre", "fichero", F.inline("Data"))
+    rows = documents.select("*", F.inline("Data"))
     return rows.select(
         F.col("COD").alias("codigo"),
         F.col("Nombre").alias("nombre_serie"),

@@ -12,7 +12,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
-MODULES = ("demand", "rows", "balance", "quality")
+MODULES = ("demand", "rows", "balance", "quality", "ingest", "star")
 
 
 def query(name: str, sql: str | None = None) -> Callable[[Query], Query]:
