@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -37,16 +37,17 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, T.NumericType)]
 
 
-def _exact(field: T.StructField):
-    c = F.col(field.name)
-    return c if isinstance(field.dataType, T.IntegralType) else c.cast("decimal(28,6)")
+def _exact(field: T.StructField) -> Column:
+    whole = isinstance(field.dataType, T.IntegralType)
+    return F.col(field.name).cast("decimal(20,0)" if whole else "decimal(28,6)")
 
 
 def fingerprint(df: DataFrame) -> DataFrame:
     """Row count and rounded sum of every numeric column in one aggregate.
 
-    Fractional columns are added as decimals: the sum does not depend on how the rows are
-    partitioned, so two copies of a table compare equal on any cluster.
+    Columns are added as decimals: the sum of keys cannot overflow and the sum of fractions
+    does not depend on how the rows are partitioned, so two copies of a table compare equal
+    on any cluster.
     """
     sums = [
         F.round(F.sum(_exact(f)), 4).cast("double").alias(f"suma_{f.name}")

@@ -14,8 +14,20 @@ from statloom.sources.schemas import SERIES_CATALOGUE
 KEY = ("hecho", "tipo_alojamiento", "territorio", "medida", "residencia")
 
 
+VARIABLES = (fx.CATEGORY, fx.RESIDENCE, fx.DATA_TYPE, fx.CONCEPT)
+PLACES = tuple(dict.fromkeys(t[0] for t in fx.METADATA_TERRITORIES))
+
+
+def _read_entries(metadata: DataFrame) -> DataFrame:
+    """Metadata variables as columns, each read once from the key/value list."""
+    names = {f"_m_{v}": v for v in VARIABLES + PLACES}
+    return metadata.withColumns(
+        {out: entry_of("MetaData", v, "T3_Variable", "Nombre") for out, v in names.items()}
+    )
+
+
 def _entry(variable: str) -> Column:
-    return entry_of("MetaData", variable, "T3_Variable", "Nombre")
+    return F.col(f"`_m_{variable}`")
 
 
 def _territories() -> Column:
@@ -36,7 +48,8 @@ def source_tables(df: DataFrame) -> DataFrame:
 
 def classify_series(metadata: DataFrame) -> DataFrame:
     """Every series with its classification, or the reason why it has none."""
-    known = metadata.join(source_tables(metadata), "tabla_id").withColumn("_t", _territories())
+    known = _read_entries(metadata).join(source_tables(metadata), "tabla_id")
+    known = known.withColumn("_t", _territories())
     prices = F.col("hecho") == "precios"
     first = F.try_element_at("_t", F.lit(1))
     data_type = _entry(fx.DATA_TYPE)

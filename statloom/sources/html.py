@@ -6,6 +6,7 @@ the cells of the first table of each document. Typing and filtering are column e
 
 from __future__ import annotations
 
+import contextlib
 import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
@@ -20,13 +21,17 @@ from statloom.functions.columns import number
 CHARSET = re.compile(rb"charset=[\"']?([\w-]+)", re.IGNORECASE)
 
 
+class _TableRead(Exception):
+    """The first table of the document is complete."""
+
+
 class _FirstTable(HTMLParser):
     """Cells of the first table; nested tables count as text of their cell."""
 
     def __init__(self) -> None:
         super().__init__(convert_charrefs=True)
         self.rows: list[list[tuple[str, int, int]]] = []
-        self.depth, self.done, self.hidden = 0, False, 0
+        self.depth, self.hidden = 0, 0
         self.cell: list[str] | None = None
         self.span = (1, 1)
 
@@ -39,8 +44,6 @@ class _FirstTable(HTMLParser):
             self.cell = None
 
     def handle_starttag(self, tag, attrs) -> None:
-        if self.done:
-            return
         if tag == "table":
             self.depth += 1
         if tag in ("script", "style"):
@@ -62,20 +65,18 @@ class _FirstTable(HTMLParser):
             self.cell.append(" ")
 
     def handle_endtag(self, tag) -> None:
-        if self.done:
-            return
         if tag in ("script", "style"):
             self.hidden = max(self.hidden - 1, 0)
         if self.depth == 1 and tag in ("td", "th", "tr"):
             self._end_cell()
         if tag == "table" and self.depth:
-            if self.depth == 1:
-                self._end_cell()
-                self.done = True
             self.depth -= 1
+            if self.depth == 0:
+                self._end_cell()
+                raise _TableRead
 
     def handle_data(self, data) -> None:
-        if self.cell is not None and not self.done and not self.hidden:
+        if self.cell is not None and not self.hidden:
             self.cell.append(data)
 
 
@@ -92,8 +93,9 @@ def _decode(content: bytes) -> str:
 def table_rows(content: bytes | str) -> list[list[str | None]]:
     """Rows of the first table with spans filled in; an empty cell is None."""
     parser = _FirstTable()
-    parser.feed(content if isinstance(content, str) else _decode(content))
-    parser.close()
+    with contextlib.suppress(_TableRead):
+        parser.feed(content if isinstance(content, str) else _decode(content))
+        parser.close()
     parser._end_cell()
     grid: list[list[str | None]] = []
     pending: dict[int, tuple[int, str]] = {}
@@ -135,16 +137,14 @@ def html_tables(
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
+            out = []
             for *page, data in batch[[*keys, content]].itertuples(index=False, name=None):
                 rows = table_rows(data if isinstance(data, str) else bytes(data))
                 if max((len(r) for r in rows), default=0) != width:
                     raise ValueError(f"{page[0]}: expected a table of {width} columns")
-                body = [r + [None] * (width - len(r)) for r in rows[skip_rows:]]
-                out = pd.DataFrame(body, columns=names, dtype="object")
-                out.insert(0, "fila", range(1, len(out) + 1))
-                for k, v in zip(keys, page, strict=True):
-                    out[k] = v
-                yield out[[*keys, "fila", *names]]
+                for i, row in enumerate(rows[skip_rows:], 1):
+                    out.append((*page, i, *row, *[None] * (width - len(row))))
+            yield pd.DataFrame(out, columns=[*keys, "fila", *names])
 
     schema = T.StructType(
         [documents.schema[k] for k in keys]

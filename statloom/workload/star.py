@@ -19,7 +19,7 @@ from statloom.plans import checks, gold, indicators, silver
 from statloom.plans import fixed_values as fx
 from statloom.plans.tables import built_in
 from statloom.workload import query
-from statloom.workload.tables import order_volumes, table
+from statloom.workload.tables import demand, table
 
 SEGMENTS = {"AUTOMOBILE": "hotel", "BUILDING": "hotel", "FURNITURE": "camping", "HOUSEHOLD": "rural"}
 LABELS = [label for label, _, kind in fx.PUBLISHED_LABELS if kind == "destino"]
@@ -36,27 +36,30 @@ def _choice(c: Column, options: dict, default: str | None) -> Column:
 # --- the two sources ------------------------------------------------------------------
 
 
-def office_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+def base_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders and lines brought to months once; both sources start from these cells."""
+    return shared(demand(spark, sf_dir, by=["nacion", "residencia", "es_provisional"]))
+
+
+def office_cells(cells: DataFrame, nations: DataFrame) -> DataFrame:
     """Month × territory × type × residence: orders, quantity and orders under revision."""
-    places = (
-        table(spark, sf_dir, "customer")
-        .join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            F.col("c_custkey").alias("o_custkey"),
-            _choice(F.col("c_mktsegment"), SEGMENTS, "apartamento").alias("tipo"),
-            _choice(F.col("n_regionkey"), {3: "costa-calida", 4: "cartagena"}, fx.REGION).alias(
-                "territorio"
-            ),
-        )
+    places = nations.select(
+        F.col("n_nationkey").alias("nacion"),
+        _choice(F.col("n_regionkey"), {3: "costa-calida", 4: "cartagena"}, fx.REGION).alias(
+            "territorio"
+        ),
     )
-    return shared(
-        order_volumes(spark, sf_dir)
-        .join(places, "o_custkey")
+    kind = _choice(F.col("tipo"), SEGMENTS, "apartamento")
+    return (
+        cells.withColumn("tipo", kind)
+        .join(places, "nacion")
         .groupBy("fecha", "territorio", "tipo", "residencia")
         .agg(
-            F.count(F.lit(1)).alias("n"),
+            F.sum("viajeros").alias("n"),
             F.sum("pernoctaciones").alias("q"),
-            F.count_if("es_provisional").alias("u"),
+            F.coalesce(F.sum(F.when(F.col("es_provisional"), F.col("viajeros"))), F.lit(0)).alias(
+                "u"
+            ),
         )
     )
 
@@ -78,7 +81,7 @@ def _long(cells: DataFrame, fact: str, measures: dict[str, Column], residence: b
 
 def office_long(cells: DataFrame) -> DataFrame:
     n, q, u = F.col("n"), F.col("q"), F.col("u")
-    demand = cells.withColumn("secreto", n % 10 == 0)
+    people = cells.withColumn("secreto", n % 10 == 0)
     supply = (
         cells.groupBy("fecha", "territorio", "tipo")
         .agg(F.sum("n").alias("n"), F.sum("q").alias("q"), F.sum("u").alias("u"))
@@ -86,7 +89,7 @@ def office_long(cells: DataFrame) -> DataFrame:
     )
     prices = supply.filter(F.col("tipo") == fx.HOTEL).withColumn("secreto", F.lit(False))
     return (
-        _long(demand, "demanda", {"viajeros": n, "pernoctaciones": q}, True)
+        _long(people, "demanda", {"viajeros": n, "pernoctaciones": q}, True)
         .unionByName(
             _long(
                 supply,
@@ -148,30 +151,21 @@ MEASURES = ["viajeros_residentes", "viajeros_no_residentes"]
 MEASURES += ["pernoctaciones_residentes", "pernoctaciones_no_residentes"]
 
 
-def portal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def portal_rows(cells: DataFrame) -> DataFrame:
     """Loaded portal table: destinations, zone totals and the grand total of every month."""
     labels = F.array(*[F.lit(x) for x in LABELS])
     zones = F.array(*[F.lit(ZONE_OF[x]) for x in LABELS])
-    spot = (F.col("c_nationkey") % len(LABELS) + 1).cast("int")
-    places = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("o_custkey"),
-        F.element_at(labels, spot).alias("destino"),
-        F.element_at(zones, spot).alias("zona"),
-    )
+    spot = (F.col("nacion") % len(LABELS) + 1).cast("int")
     home = F.col("residencia") == fx.RESIDENTS
-    people, nights = F.lit(1), F.col("pernoctaciones")
-    cells = shared(
-        order_volumes(spark, sf_dir)
-        .join(places, "o_custkey")
-        .groupBy("fecha", "zona", "destino")
-        .agg(
-            *[
-                F.coalesce(F.sum(F.when(cond, v)), F.lit(0)).cast("bigint").alias(m)
-                for m, cond, v in zip(
-                    MEASURES, [home, ~home] * 2, [people, people, nights, nights], strict=True
-                )
-            ]
-        )
+    people, nights = F.col("viajeros"), F.col("pernoctaciones")
+    sums = zip(MEASURES, [home, ~home] * 2, [people, people, nights, nights], strict=True)
+    cells = cells.groupBy(
+        "fecha", F.element_at(zones, spot).alias("zona"), F.element_at(labels, spot).alias("destino")
+    ).agg(
+        *[
+            F.coalesce(F.sum(F.when(cond, v)), F.lit(0)).cast("bigint").alias(m)
+            for m, cond, v in sums
+        ]
     )
     hidden = (F.length("destino") + F.month("fecha")) % 4 == 0
     shown = cells.withColumns({m: F.when(hidden, 0).otherwise(F.col(m)) for m in MEASURES})
@@ -197,26 +191,32 @@ def portal_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- silver and gold ------------------------------------------------------------------
 
 
-def _observations(spark: SparkSession, sf_dir: str) -> DataFrame:
-    series, catalogue = office_series(office_long(office_cells(spark, sf_dir)))
-    return silver.catalogued(silver.series_observations(series), catalogue)
+def _observations(spark: SparkSession, sf_dir: str, cells: DataFrame | None = None) -> DataFrame:
+    """Catalogued observations, written once: several facts read them."""
+    cells = base_cells(spark, sf_dir) if cells is None else cells
+    office = office_cells(cells, table(spark, sf_dir, "nation"))
+    series, catalogue = office_series(office_long(office))
+    return shared(silver.catalogued(silver.series_observations(series), catalogue))
 
 
-def _portal(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _portal(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classified rows, residual and occupancy of the portal."""
-    stg = silver.destination_rows(portal_rows(spark, sf_dir))
-    rows = silver.classified_rows(stg, built_in(spark)["destinos_murciaturistica"])
+    stg = silver.destination_rows(portal_rows(cells))
+    labels = built_in(cells.sparkSession)["destinos_murciaturistica"]
+    rows = shared(silver.classified_rows(stg, labels))
     rest = silver.residual_by_zone(rows)
     return rows, rest, silver.destination_occupancy(rows, rest)
 
 
 def star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Gold tables by name; each one that is asked for is computed once and then shared."""
+    """Gold tables by name. What several of them read, or several indicators, is written once."""
     ref = built_in(spark)
-    obs = _observations(spark, sf_dir)
-    occupancy = shared(_portal(spark, sf_dir)[2])
+    cells = base_cells(spark, sf_dir)
+    obs = _observations(spark, sf_dir, cells)
+    both = {"dim_fecha", "fct_demanda_mensual"} & set(names)
+    occupancy = shared(_portal(cells)[2]) if both else None
     make = {
-        "dim_fecha": lambda: gold.calendar(obs, occupancy),
+        "dim_fecha": lambda: shared(gold.calendar(obs, occupancy)),
         "dim_territorio": lambda: gold.territories(ref["territorios"]),
         "dim_tipo_alojamiento": lambda: gold.accommodation_types(ref["tipos_alojamiento"]),
         "dim_residencia": lambda: gold.residences(ref["residencias"]),
@@ -349,7 +349,7 @@ WITH_BASES = (
            cast(pn as bigint) as pernoctaciones_no_residentes from resto""",
 )
 def star_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portal(spark, sf_dir)[1]
+    return _portal(base_cells(spark, sf_dir))[1]
 
 
 @query(
@@ -361,12 +361,14 @@ def star_residual(spark: SparkSession, sf_dir: str) -> DataFrame:
            cast(pn as bigint) as pernoctaciones_no_residentes from ocupacion""",
 )
 def star_occupancy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _portal(spark, sf_dir)[2]
+    return _portal(base_cells(spark, sf_dir))[2]
 
 
 @query("star_demand_fact", f"{WITH_STAR} select * from demanda")
 def star_demand_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return star(spark, sf_dir, "fct_demanda_mensual")["fct_demanda_mensual"]
+    cells = base_cells(spark, sf_dir)
+    obs, occupancy = _observations(spark, sf_dir, cells), _portal(cells)[2]
+    return gold.demand(obs, occupancy, built_in(spark)["territorios"])
 
 
 _NONE = "cast(null as bigint)"
