@@ -183,11 +183,17 @@ def singular_checks(t: Tables, complete_data: bool = True) -> list[q.Check]:
     return checks
 
 
-def bronze_report(series: DataFrame, catalogue: DataFrame, today: Column) -> DataFrame:
-    """Checks after the load: all catalogued series are there (blocking), data are recent."""
+def bronze_report(
+    series: DataFrame, catalogue: DataFrame, today: str | None = None
+) -> DataFrame:
+    """Checks after the load: all catalogued series are there (blocking), data are recent.
+
+    ``today`` is an ISO date; the default is the current date.
+    """
+    day = F.current_date() if today is None else F.lit(today).cast("date")
     missing = q.Check("catalogo_completo", q.missing_keys(catalogue, "codigo", series))
     dates = series.select(F.make_date("anio", "periodo", F.lit(1)).alias("fecha"))
-    old = q.freshness(dates, "fecha", today, fx.MAX_MONTHS_OLD).filter(~F.col("vigente"))
+    old = q.freshness(dates, "fecha", day, fx.MAX_MONTHS_OLD).filter(~F.col("vigente"))
     return q.quality_report([missing, q.Check("datos_recientes", old, q.WARN)])
 
 

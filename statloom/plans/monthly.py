@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import datetime
 from collections.abc import Mapping
 from functools import partial
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.operators import quality as q
@@ -94,7 +95,7 @@ def run(
     lake: str,
     reference: Mapping[str, DataFrame],
     package: str | None = None,
-    today: Column | None = None,
+    today: str | None = None,
     complete_data: bool = True,
     decimal: str = ".",
     thousands: str = ",",
@@ -107,7 +108,7 @@ def run(
     loaded = checks.bronze_report(
         read_table(spark, f"{lake}/bronze/ine_series"),
         reference["series_ine"],
-        F.current_date() if today is None else today,
+        today,
     )
     if not complete_data:
         loaded = loaded.filter(F.col("prueba") != "catalogo_completo")
@@ -130,3 +131,19 @@ def write_indicators(sections: Mapping[str, DataFrame], folder: str) -> None:
         df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(
             f"{folder}/{name.lstrip('_')}"
         )
+
+
+def document(sections: Mapping[str, DataFrame]) -> dict[str, list[dict]]:
+    """The indicator sections as one JSON-ready document.
+
+    Only finished indicators are collected: groups × months, never facts.
+    """
+
+    def plain(v):
+        return v.isoformat() if isinstance(v, datetime.date) else v
+
+    return {
+        name: [{k: plain(v) for k, v in r.asDict().items()} for r in df.collect()]
+        for name, df in sections.items()
+        if not name.startswith("_")
+    }
