@@ -78,3 +78,17 @@ def peak_and_trough(df: DataFrame, group: str, position: str, value: str) -> Dat
         F.col(f"_l.{position}").alias("trough"),
         F.col(f"_l.{value}").alias("trough_value"),
     )
+
+
+def with_parent(
+    members: DataFrame, parents: DataFrame, key: str, parent: str, columns: Mapping[str, str]
+) -> DataFrame:
+    """Attributes of the parent of each member: ``{output: parent column}``.
+
+    One call climbs one level of a hierarchy kept as ``(key, parent)`` pairs; members without
+    a parent keep NULLs. ``parents`` may leave out members that are nobody's parent.
+    """
+    above = parents.select(
+        F.col(key).alias(parent), *[F.col(c).alias(out) for out, c in columns.items()]
+    )
+    return members.join(above, parent, "left").select(*members.columns, *columns)

@@ -95,3 +95,9 @@ def series_catalogue(metadata: DataFrame) -> DataFrame:
     return kept.select(SERIES_CATALOGUE.names).orderBy(
         "hecho", "tipo_alojamiento", "nivel_territorio", "codigo"
     )
+
+
+def write_catalogue(catalogue: DataFrame, folder: str) -> None:
+    """Catalogue as one CSV file with a header, to be reviewed and versioned."""
+    writer = catalogue.coalesce(1).write.mode("overwrite").option("header", True)
+    writer.option("escape", '"').option("emptyValue", "").csv(folder)

@@ -193,6 +193,9 @@ def all_indicators(t: Tables) -> dict[str, DataFrame]:
         ),
         "bajo_base_tipos": ind.below_base(types_year, "anio"),
         "ultimos_precios": latest_per_group(price, ["territorio"], ["fecha"]),
+        "precios_frente_a_region": ind.against_group(
+            price, "territorio", "fecha", "indice", fx.REGION
+        ),
         "tramos_excepciones": exception_runs(t["excepciones_cuadre"]),
         "indice_por_anio": per.year_spine(types_year, "grupo", "anio", "indice"),
         "banda_provisional": per.provisional_band(

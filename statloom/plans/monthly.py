@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import argparse
 import datetime
 from collections.abc import Mapping
 from functools import partial
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from statloom.operators import quality as q
 from statloom.operators.periods import published_periods
 from statloom.plans import bronze, checks, gold, indicators, release, silver
+from statloom.plans.tables import from_csv
 from statloom.sources.schemas import GOLD
 from statloom.sources.store import read_table, replace_table
 
@@ -147,3 +149,29 @@ def document(sections: Mapping[str, DataFrame]) -> dict[str, list[dict]]:
         for name, df in sections.items()
         if not name.startswith("_")
     }
+
+
+def main(argv: list[str] | None = None) -> None:
+    """``spark-submit`` entry point: one monthly run on the session of the cluster."""
+    parser = argparse.ArgumentParser(description="Monthly run from raw documents to the package")
+    parser.add_argument("raw", help="folder with the raw documents of both sources")
+    parser.add_argument("lake", help="folder of the bronze, silver and gold tables")
+    parser.add_argument("--series", required=True, help="CSV file of the series catalogue")
+    parser.add_argument("--exceptions", help="CSV file of documented differences")
+    parser.add_argument("--package", help="folder of the data package")
+    parser.add_argument("--indicators", help="folder of the indicator files")
+    parser.add_argument("--today", help="ISO date used by the freshness check")
+    parser.add_argument("--partial", action="store_true", help="not every series is loaded")
+    args = parser.parse_args(argv)
+    spark = SparkSession.builder.appName("monthly statistics").getOrCreate()
+    paths = {"series_ine": args.series, "excepciones_cuadre": args.exceptions}
+    reference = from_csv(spark, {n: p for n, p in paths.items() if p})
+    out = run(
+        spark, args.raw, args.lake, reference, args.package, args.today, not args.partial
+    )
+    if args.indicators:
+        write_indicators(out, args.indicators)
+
+
+if __name__ == "__main__":
+    main()

@@ -21,6 +21,14 @@ from statloom.functions.columns import number
 CHARSET = re.compile(rb"charset=[\"']?([\w-]+)", re.IGNORECASE)
 
 
+# Largest spans that the HTML standard allows.
+SPAN_LIMITS = {"colspan": 1000, "rowspan": 65534}
+
+
+def _span(text: str | None, top: int) -> int:
+    return min(max(int(text), 1), top) if text and text.strip().isdigit() else 1
+
+
 class _TableRead(Exception):
     """The first table of the document is complete."""
 
@@ -56,10 +64,7 @@ class _FirstTable(HTMLParser):
         elif tag in ("td", "th"):
             self._end_cell()
             sizes = dict(attrs)
-            self.span = tuple(
-                int(sizes.get(k) or 1) if (sizes.get(k) or "1").isdigit() else 1
-                for k in ("colspan", "rowspan")
-            )
+            self.span = tuple(_span(sizes.get(k), top) for k, top in SPAN_LIMITS.items())
             self.cell = []
         elif tag == "br" and self.cell is not None:
             self.cell.append(" ")

@@ -287,15 +287,10 @@ def hierarchy_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
     )
     # Only inner levels can be parents, so the leaves stay out of the build side.
-    parents = members.filter(F.col("nivel") != "cliente").select(
-        F.col("id").alias("padre_id"), F.col("nombre").alias("padre")
-    )
-    return members.join(parents, "padre_id", "left").select(
-        "id",
-        "nombre",
-        "nivel",
-        "padre_id",
-        "padre",
+    parents = members.filter(F.col("nivel") != "cliente")
+    family = res.with_parent(members, parents, "id", "padre_id", {"padre": "nombre"})
+    return family.select(
+        "*",
         col.label_by("padre_id", {"r0": "africa", "r1": "america"}, "otros").alias("grupo"),
         col.is_broken_down("nivel", "nombre", "cliente", "0").alias("es_desglosado"),
     )

@@ -6,6 +6,7 @@ import pytest
 
 from statloom.operators.classify import UnknownValue
 from statloom.plans import catalogue as cat
+from statloom.sources.reference import read_reference
 from statloom.sources.schemas import SERIES_CATALOGUE
 from statloom.sources.series import read_metadata
 
@@ -98,3 +99,10 @@ def test_an_unknown_value_stops_the_build(read, number, bad, message):
 def test_unknown_values_of_discarded_series_do_not_matter(read):
     fine = series("D1", region="Andalucía", concepto="Algo nuevo", residencia="Marte")
     assert cat.series_catalogue(read({2074: [fine]})).count() == 0
+
+
+def test_catalogue_file_reads_back(spark, read, tmp_path):
+    df = cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY}))
+    cat.write_catalogue(df, str(tmp_path / "csv"))
+    again = read_reference(spark, str(tmp_path / "csv"), SERIES_CATALOGUE, blanks=True)
+    assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
