@@ -78,25 +78,33 @@ def classify_series(metadata: DataFrame) -> DataFrame:
     )
 
 
-def series_catalogue(metadata: DataFrame) -> DataFrame:
-    """Catalogue rows, one per combination of dimensions: the first appearance wins.
+def catalogue_rows(rows: DataFrame) -> DataFrame:
+    """Catalogue of classified series, one row per combination of dimensions.
 
-    Fails with a sample when a value is not in the dictionaries: better to look at it than to
-    classify a series wrongly.
+    The first appearance wins, in the order of the source tables and of the series in them.
     """
-    rows = reject_unknown(classify_series(metadata)).withColumns(
+    named = rows.withColumns(
         {
             "codigo": F.col("COD"),
             "unidad": F.coalesce(F.trim("T3_Unidad"), F.lit("")),
             "nombre_ine": F.trim("Nombre"),
         }
     )
-    kept = first_occurrence(rows, KEY, ["orden", "posicion"])
+    kept = first_occurrence(named, KEY, ["orden", "posicion"])
     return kept.select(SERIES_CATALOGUE.names).orderBy(
         "hecho", "tipo_alojamiento", "nivel_territorio", "codigo"
     )
 
 
+def series_catalogue(metadata: DataFrame) -> DataFrame:
+    """Catalogue of all series of the metadata documents.
+
+    Fails with a sample when a value is not in the dictionaries: better to look at it than to
+    classify a series wrongly.
+    """
+    return catalogue_rows(reject_unknown(classify_series(metadata)))
+
+
 def write_catalogue(catalogue: DataFrame, folder: str) -> None:
     """Catalogue as one CSV file with a header, to be reviewed and versioned."""
     writer = catalogue.coalesce(1).write.mode("overwrite").option("header", True)

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import cents, month_of, month_text
-from statloom.operators.classify import OUTCOME
+from statloom.operators.classify import OUTCOME, classified
 from statloom.plans import catalogue as cat
 from statloom.plans import fixed_values as fx
 from statloom.sources.html import html_tables, typed
@@ -261,8 +261,5 @@ def catalog_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
         order by orden, p_partkey) = 1""",
 )
 def series_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classified series, the first of each combination; series nobody can classify are left
-    out beforehand, because the catalogue would refuse them."""
-    rows = _metadata(spark, sf_dir)
-    bad = cat.classify_series(rows).filter(F.col(OUTCOME) != "").select("COD")
-    return cat.series_catalogue(rows.join(bad, "COD", "left_anti"))
+    """Classified series, the first of each combination; what nobody can classify stays out."""
+    return cat.catalogue_rows(classified(cat.classify_series(_metadata(spark, sf_dir))))
