@@ -85,22 +85,25 @@ def check_unique_values(df: DataFrame, col: str) -> DataFrame:
     return check_unique(df.filter(F.col(col).isNotNull()), [col])
 
 
+def _keys(df: DataFrame, col: str, name: str) -> DataFrame:
+    return df.select(F.col(col).alias(name)).distinct()
+
+
 def check_relationship(df: DataFrame, col: str, to: DataFrame, field: str) -> DataFrame:
-    """Keys without a row in the parent, with the rows that use them.
+    """Keys without a row in the parent, with the number of rows that use them.
 
-    Keys are counted before the join, so a frequent key reaches it as one row.
+    Both sides are reduced to their keys before the join, so a frequent key reaches it as one
+    row on either side; the join reuses the partitioning of the two aggregates.
     """
     used = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("filas"))
-    return used.join(to.select(F.col(field).alias(col)), col, "left_anti")
+    return used.join(_keys(to, field, col), col, "left_anti")
 
 
 def missing_keys(
     expected: DataFrame, col: str, found: DataFrame, field: str | None = None
 ) -> DataFrame:
     """Expected keys with no data."""
-    return expected.select(col).distinct().join(
-        found.select(F.col(field or col).alias(col)), col, "left_anti"
-    )
+    return _keys(expected, col, col).join(_keys(found, field or col, col), col, "left_anti")
 
 
 def sample_of(df: DataFrame, *order: str, limit: int = 10) -> DataFrame:

@@ -14,7 +14,8 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     temporary folder; on a cluster nothing machine-local is ever used.
     """
     sc = spark.sparkContext
-    folder = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
+    folder = sc.getCheckpointDir() or named
     if folder is None and sc.master.startswith("local"):
         folder = tempfile.mkdtemp(prefix="statloom-")
     if folder is not None and sc.getCheckpointDir() is None:

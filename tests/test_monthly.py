@@ -147,3 +147,20 @@ def test_an_unbalanced_source_blocks_publication(spark, folder, reference, tmp_p
     with pytest.raises(QualityError, match="zonas_cuadran_con_totales"):
         monthly.run(spark, str(raw), str(tmp_path / "lake"), reference, str(tmp_path / "p"), TODAY)
     assert not (tmp_path / "p").exists()
+
+
+def test_command_line(spark, folder, tmp_path):
+    monthly.main(
+        [
+            str(folder / "raw"),
+            str(tmp_path / "lake"),
+            "--series",
+            str(folder / "series_ine.csv"),
+            "--indicators",
+            str(tmp_path / "out"),
+            "--today",
+            TODAY,
+        ]
+    )
+    assert spark.read.json(str(tmp_path / "out" / "pruebas")).filter("not superada").count() == 0
+    assert spark.read.json(str(tmp_path / "out" / "cuadre")).first().meses == 17

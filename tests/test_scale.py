@@ -127,6 +127,13 @@ def test_filters_reach_the_scan(spark, small_dir):
     assert "EqualTo(r_name,EUROPE)" in text
 
 
+def test_foreign_key_checks_move_each_key_once(spark, small_dir, big_data_plans):
+    """Two exchanges of distinct keys; the anti join adds none."""
+    text = plan(entry.queries()["check_relationship"](spark, small_dir)).split("Initial Plan")[0]
+    assert len(re.findall(r"[-+] Exchange hashpartitioning", text)) == 2
+    assert len(re.findall(r"HashAggregate", text)) == 4
+
+
 def test_first_occurrence_is_trimmed_before_the_exchange(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     text = plan(res.first_occurrence(df, ["k"], ["v"])).split("Initial Plan")[0]
