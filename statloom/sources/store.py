@@ -89,6 +89,28 @@ def register(spark: SparkSession, path: str, name: str) -> DataFrame:
     return df
 
 
+def register_layers(
+    spark: SparkSession, lake: str, layers: Sequence[str] = ("bronze", "silver", "gold")
+) -> list[str]:
+    """Written tables under their layer names for SQL: ``SELECT … FROM gold.some_table``.
+
+    Tables are external and point at the current version, so this is called after each run;
+    nothing is copied and dropping them leaves the files alone. The databases stay in the
+    warehouse folder of the session: one located in the lake would take it along when dropped.
+    """
+    names = []
+    for layer in layers:
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS `{layer}`")
+        for name in files.list_names(spark, f"{lake}/{layer}", True):
+            folder = f"{lake}/{layer}/{name}"
+            if files.exists(spark, f"{folder}/{POINTER}"):
+                path = current_path(spark, folder)
+                spark.sql(f"DROP TABLE IF EXISTS `{layer}`.`{name}`")
+                spark.sql(f"CREATE TABLE `{layer}`.`{name}` USING parquet LOCATION '{path}'")
+                names.append(f"{layer}.{name}")
+    return names
+
+
 def export(tables: Mapping[str, DataFrame], folder: str, max_records: int = 50_000_000) -> None:
     """One zstd Parquet directory per table; only those directories are replaced.
 

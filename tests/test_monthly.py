@@ -12,7 +12,7 @@ from statloom.operators.quality import QualityError
 from statloom.plans import checks, monthly, release
 from statloom.plans.tables import from_csv
 from statloom.sources.schemas import GOLD
-from statloom.sources.store import read_table
+from statloom.sources.store import read_table, register_layers
 from tests import world
 
 TODAY = "2020-09-15"
@@ -149,6 +149,23 @@ def test_an_unbalanced_source_blocks_publication(spark, folder, reference, tmp_p
     assert not (tmp_path / "p").exists()
 
 
+def test_layers_are_visible_to_sql(spark, folder, result):
+    names = register_layers(spark, str(folder / "lake"))
+    assert {f"gold.{n}" for n in GOLD} <= set(names)
+    assert register_layers(spark, str(folder / "lake")) == names
+    row = spark.sql(
+        """
+        SELECT d.anio, sum(f.pernoctaciones) AS p
+        FROM gold.fct_demanda_mensual f JOIN gold.dim_fecha d USING (fecha_id)
+        WHERE f.fuente = 'INE' AND f.tipo_alojamiento_id = 'camping' AND d.anio = 2019 GROUP BY ALL
+        """
+    ).first()
+    assert tuple(row) == (2019, 1200)
+    for layer in ("bronze", "silver", "gold"):
+        spark.sql(f"DROP DATABASE {layer} CASCADE")
+    assert (folder / "lake/gold/dim_fecha/_CURRENT").exists()
+
+
 def test_command_line(spark, folder, tmp_path):
     monthly.main(
         [
