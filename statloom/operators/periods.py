@@ -140,28 +140,27 @@ def consecutive_runs(
 
     Positions are cut into blocks and the runs are found inside each block, so a key with a
     large share of the rows is spread over many tasks. Only runs that touch the edge of a
-    block can continue in the next one; at most two per block go through the second step.
+    block can continue in the next one; these, at most two per block, are put in order per
+    key and joined. The others stay with their block.
     """
     keys = list(keys)
     pos = F.col(position).cast("bigint")
     cells = df.filter(pos.isNotNull()).select(*keys, pos.alias("_p")).distinct()
     cells = cells.withColumn("_b", F.floor(F.col("_p") / block).cast("bigint"))
-    order = Window.partitionBy(*keys, "_b").orderBy("_p")
+    in_block = Window.partitionBy(*keys, "_b").orderBy("_p")
     runs = (
-        cells.withColumn("_i", F.col("_p") - F.row_number().over(order))
+        cells.withColumn("_i", F.col("_p") - F.row_number().over(in_block))
         .groupBy(*keys, "_b", "_i")
         .agg(F.min("_p").alias("start"), F.max("_p").alias("end"))
     )
     at_edge = (F.pmod("start", F.lit(block)) == 0) | (F.pmod("end", F.lit(block)) == block - 1)
-    inside = runs.filter(~at_edge).select(*keys, "start", "end")
-    edge = runs.filter(at_edge).select(*keys, "start", "end")
-    by_key = Window.partitionBy(*keys).orderBy("start")
-    starts = F.when(F.col("start") == F.lag("end").over(by_key) + 1, 0).otherwise(1)
-    joined = (
-        edge.withColumn("_new", starts)
-        .withColumn("_run", F.sum("_new").over(by_key.rowsBetween(Window.unboundedPreceding, 0)))
-        .groupBy(*keys, "_run")
+    runs = runs.withColumn("_b", F.when(~at_edge, F.col("_b")))
+    by_start = Window.partitionBy(*keys, "_b").orderBy("start")
+    starts = F.when(F.col("start") == F.lag("end").over(by_start) + 1, 0).otherwise(1)
+    return (
+        runs.withColumn("_new", starts)
+        .withColumn("_run", F.sum("_new").over(by_start.rowsBetween(Window.unboundedPreceding, 0)))
+        .groupBy(*keys, "_b", "_run")
         .agg(F.min("start").alias("start"), F.max("end").alias("end"))
-        .select(*keys, "start", "end")
+        .select(*keys, "start", "end", (F.col("end") - F.col("start") + 1).alias("length"))
     )
-    return inside.unionByName(joined).withColumn("length", F.col("end") - F.col("start") + 1)
