@@ -9,7 +9,8 @@ from statloom.functions.columns import entry_of
 from statloom.operators.classify import Discard, Translate, classify, reject_unknown
 from statloom.operators.reshape import first_occurrence
 from statloom.plans import fixed_values as fx
-from statloom.sources.schemas import SERIES_CATALOGUE
+from statloom.sources.reference import fixed_table
+from statloom.sources.schemas import SERIES_CATALOGUE, I, S, table
 
 KEY = ("hecho", "tipo_alojamiento", "territorio", "medida", "residencia")
 
@@ -41,9 +42,8 @@ def _territories() -> Column:
 
 def source_tables(df: DataFrame) -> DataFrame:
     rows = [(n, i, *rest) for i, (n, *rest) in enumerate(fx.SOURCE_TABLES)]
-    return df.sparkSession.createDataFrame(
-        rows, "tabla_id int, orden int, operacion string, tipo_alojamiento string, hecho string"
-    )
+    schema = table((I, "tabla_id", "orden"), (S, "operacion", "tipo_alojamiento", "hecho"))
+    return fixed_table(df.sparkSession, rows, schema)
 
 
 def classify_series(metadata: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from statloom.plans import fixed_values as fx
 from statloom.sources import schemas
-from statloom.sources.reference import read_reference
+from statloom.sources.reference import fixed_table, read_reference
 
 #: Schema of every reference table, by the name of its CSV file.
 REFERENCE = {
@@ -27,14 +27,14 @@ def built_in(spark: SparkSession) -> dict[str, DataFrame]:
     The series catalogue comes from :mod:`statloom.plans.catalogue` or from a CSV file, and
     documented exceptions from a CSV file.
     """
-    make = spark.createDataFrame
-    return {
-        "territorios": make(list(fx.TERRITORIES), schemas.TERRITORIES),
-        "destinos_murciaturistica": make(list(fx.PUBLISHED_LABELS), schemas.PUBLISHED_LABELS),
-        "tipos_alojamiento": make(list(fx.ACCOMMODATION_TYPES), schemas.ACCOMMODATION_TYPES),
-        "residencias": make(list(fx.RESIDENCES), schemas.RESIDENCES),
-        "excepciones_cuadre": make([], schemas.EXCEPTIONS),
+    rows = {
+        "territorios": fx.TERRITORIES,
+        "destinos_murciaturistica": fx.PUBLISHED_LABELS,
+        "tipos_alojamiento": fx.ACCOMMODATION_TYPES,
+        "residencias": fx.RESIDENCES,
+        "excepciones_cuadre": (),
     }
+    return {n: fixed_table(spark, r, REFERENCE[n]) for n, r in rows.items()}
 
 
 def from_csv(spark: SparkSession, paths: Mapping[str, str]) -> dict[str, DataFrame]:

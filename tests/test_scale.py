@@ -15,6 +15,7 @@ from statloom.operators import quality as q
 from statloom.operators import reshape as res
 from statloom.operators import residual as rsd
 from statloom.operators.staging import checkpoint_dir, shared
+from statloom.plans.tables import built_in
 from statloom.workload.tables import DEMAND_SQL, demand
 from tests.oracle import compare
 
@@ -134,6 +135,15 @@ def test_foreign_key_checks_move_each_key_once(spark, small_dir, big_data_plans)
     assert len(re.findall(r"HashAggregate", text)) == 4
 
 
+def test_fixed_tables_are_broadcast_by_their_known_size(spark):
+    labels = built_in(spark)["destinos_murciaturistica"]
+    facts = spark.range(1000).select(F.col("id").cast("string").alias("destino"), "id")
+    text = plan(facts.join(labels, "destino"), run=False)
+    assert "LocalTableScan" in text
+    assert "BroadcastHashJoin" in text
+    assert built_in(spark)["excepciones_cuadre"].count() == 0
+
+
 def test_first_occurrence_is_trimmed_before_the_exchange(spark):
     df = spark.range(1000).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
     text = plan(res.first_occurrence(df, ["k"], ["v"])).split("Initial Plan")[0]
