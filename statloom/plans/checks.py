@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -145,20 +145,31 @@ def unmapped_labels(t: Tables) -> DataFrame:
     return q.missing_keys(t["int_mt__ocupacion_destino"], "destino", named, "nombre_en_fuente")
 
 
-def singular_checks(t: Tables, complete_data: bool = True) -> list[q.Check]:
-    """Checks that compare tables with each other.
+def silver_checks(t: Tables, complete_data: bool = True) -> list[q.Check]:
+    """Checks between silver tables.
 
     ``complete_data`` is off for partial loads, where not every catalogued series has data.
     """
-    zone_totals = t["int_mt__filas_clasificadas"].filter(F.col("tipo_fila") == "total_zona")
-    office, portal = source_totals(t)
     balance = unbalanced_totals(
         t["int_mt__ocupacion_destino"],
-        zone_totals,
+        t["int_mt__filas_clasificadas"].filter(F.col("tipo_fila") == "total_zona"),
         ["fecha", "zona"],
         OCCUPANCY,
         fx.BALANCE_TOLERANCE,
     )
+    checks = [
+        q.Check("zonas_cuadran_con_totales", balance),
+        q.Check("destinos_con_territorio", unmapped_labels(t)),
+    ]
+    if complete_data:
+        missing = q.missing_keys(t["series_ine"], "codigo", t["stg_ine__series"])
+        checks.append(q.Check("series_del_catalogo_con_datos", missing))
+    return checks
+
+
+def gold_checks(t: Tables, exceptions: DataFrame) -> list[q.Check]:
+    """Agreement of the two sources in the demand fact."""
+    office, portal = source_totals(t)
     agreement = rec.mismatches(
         office,
         portal,
@@ -166,21 +177,15 @@ def singular_checks(t: Tables, complete_data: bool = True) -> list[q.Check]:
         PEOPLE,
         fx.ABSOLUTE_TOLERANCE,
         fx.RELATIVE_TOLERANCE,
-        t["excepciones_cuadre"],
+        exceptions,
     )
     drift = rec.share_drift(
         office, portal, ["fecha_id", "residencia_id"], "pernoctaciones", fx.RESIDENCE_TOLERANCE
     )
-    checks = [
-        q.Check("zonas_cuadran_con_totales", balance),
+    return [
         q.Check("fuentes_cuadran", agreement),
         q.Check("reparto_residencia_similar", drift, q.WARN),
-        q.Check("destinos_con_territorio", unmapped_labels(t)),
     ]
-    if complete_data:
-        missing = q.missing_keys(t["series_ine"], "codigo", t["stg_ine__series"])
-        checks.append(q.Check("series_del_catalogo_con_datos", missing))
-    return checks
 
 
 def bronze_report(
@@ -202,8 +207,11 @@ def missing_sample(series: DataFrame, catalogue: DataFrame) -> DataFrame:
     return q.sample_of(q.missing_keys(catalogue, "codigo", series), "codigo")
 
 
-def layer_report(t: Tables, complete_data: bool = True) -> DataFrame:
-    """All declared checks over the written tables, one scan per table for the row rules."""
+def layer_report(t: Tables, between: Sequence[q.Check] = ()) -> DataFrame:
+    """Declared checks of the tables of a layer and those between them.
+
+    Row rules cost one scan per table, whatever their number.
+    """
     parts = [q.rules_report(df, rules) for n, df in t.items() if (rules := row_rules(n))]
-    parts.append(q.quality_report(key_checks(t) + singular_checks(t, complete_data)))
+    parts.append(q.quality_report([*key_checks(t), *between]))
     return reduce(DataFrame.unionByName, parts)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 import datetime
 from collections.abc import Mapping
-from functools import partial
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,13 +46,13 @@ def load(
     }
 
 
-def build(
+def build_silver(
     spark: SparkSession, lake: str, reference: Mapping[str, DataFrame]
 ) -> dict[str, DataFrame]:
-    """Silver and gold from bronze.
+    """Silver from bronze, together with the tables it is made from.
 
-    Staging stays lazy; the two relations with several readers and all gold tables are
-    written, so that nothing upstream is computed twice.
+    Staging stays lazy; relations with several readers are written, so that nothing upstream
+    is computed twice.
     """
     series = read_table(spark, f"{lake}/bronze/ine_series")
     pages = read_table(spark, f"{lake}/bronze/murciaturistica_destinos")
@@ -67,15 +67,6 @@ def build(
     )
     rest = silver.residual_by_zone(rows)
     occupancy = write("int_mt__ocupacion_destino", silver.destination_occupancy(rows, rest))
-    star = {
-        "dim_fecha": gold.calendar(observations, occupancy),
-        "dim_territorio": gold.territories(reference["territorios"]),
-        "dim_tipo_alojamiento": gold.accommodation_types(reference["tipos_alojamiento"]),
-        "dim_residencia": gold.residences(reference["residencias"]),
-        "fct_demanda_mensual": gold.demand(observations, occupancy, reference["territorios"]),
-        "fct_oferta_mensual": gold.supply(observations),
-        "fct_precios_mensual": gold.prices(observations),
-    }
     return {
         **reference,
         "ine_series": series,
@@ -87,10 +78,26 @@ def build(
         "int_mt__filas_clasificadas": rows,
         "int_mt__residual_por_zona": rest,
         "int_mt__ocupacion_destino": occupancy,
-        **{name: _write(spark, lake, "gold", name, df) for name, df in star.items()},
     }
 
 
+def build_gold(
+    spark: SparkSession, lake: str, t: Mapping[str, DataFrame]
+) -> dict[str, DataFrame]:
+    """The star schema from silver and the reference tables, every table written."""
+    observations, occupancy = t["int_ine__observaciones"], t["int_mt__ocupacion_destino"]
+    star = {
+        "dim_fecha": gold.calendar(observations, occupancy),
+        "dim_territorio": gold.territories(t["territorios"]),
+        "dim_tipo_alojamiento": gold.accommodation_types(t["tipos_alojamiento"]),
+        "dim_residencia": gold.residences(t["residencias"]),
+        "fct_demanda_mensual": gold.demand(observations, occupancy, t["territorios"]),
+        "fct_oferta_mensual": gold.supply(observations),
+        "fct_precios_mensual": gold.prices(observations),
+    }
+    return {name: _write(spark, lake, "gold", name, df) for name, df in star.items()}
+
+
 def run(
     spark: SparkSession,
     raw: str,
@@ -104,26 +111,29 @@ def run(
 ) -> dict[str, DataFrame]:
     """One monthly run. Returns the indicators and the check reports.
 
-    A failed blocking check stops the run before anything downstream is built or published.
+    Every layer passes its gate before the next one is built: a failed blocking check stops
+    the run, a warning only shows in the report.
     """
     load(spark, raw, lake, decimal, thousands)
     loaded = checks.bronze_report(
-        read_table(spark, f"{lake}/bronze/ine_series"),
-        reference["series_ine"],
-        today,
+        read_table(spark, f"{lake}/bronze/ine_series"), reference["series_ine"], today
     )
     if not complete_data:
         loaded = loaded.filter(F.col("prueba") != "catalogo_completo")
-    loaded = q.gate(spark, loaded)
-    tables = build(spark, lake, reference)
-    report = q.gate(spark, checks.layer_report(tables, complete_data))
+    reports = [q.gate(spark, loaded)]
+    clean = build_silver(spark, lake, reference)
+    between = checks.silver_checks(clean, complete_data)
+    reports.append(q.gate(spark, checks.layer_report(clean, between)))
+    star = build_gold(spark, lake, clean)
+    between = checks.gold_checks(star, reference["excepciones_cuadre"])
+    reports.append(q.gate(spark, checks.layer_report(star, between)))
     out = {
-        **indicators.all_indicators(tables),
+        **indicators.all_indicators({**reference, **star}),
         "_cargas": spark.read.parquet(f"{lake}/bronze/_cargas"),
-        "_pruebas": loaded.unionByName(report),
+        "_pruebas": reduce(DataFrame.unionByName, reports),
     }
     if package is not None:
-        release.publish(spark, {n: tables[n] for n in GOLD}, package)
+        release.publish(spark, {n: star[n] for n in GOLD}, package)
     return out
 
 

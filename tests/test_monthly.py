@@ -139,13 +139,14 @@ def test_old_data_only_warn(spark, folder, result, reference):
     }
 
 
-def test_an_unbalanced_source_blocks_publication(spark, folder, reference, tmp_path):
+def test_an_unbalanced_source_blocks_gold_and_publication(spark, folder, reference, tmp_path):
     raw = tmp_path / "raw"
     world.write_world(raw)
     rows = [r and ((r[0], *(v + 5000 for v in r[1:])) if r[0] == "La Manga" else r) for r in world.page_rows(2019, 7)]
     (raw / "murciaturistica/destinos_2019-07.html").write_text(world.page_html(rows), "utf-8")
     with pytest.raises(QualityError, match="zonas_cuadran_con_totales"):
         monthly.run(spark, str(raw), str(tmp_path / "lake"), reference, str(tmp_path / "p"), TODAY)
+    assert not (tmp_path / "lake" / "gold").exists()
     assert not (tmp_path / "p").exists()
 
 

@@ -16,6 +16,7 @@ from statloom.operators import reshape as res
 from statloom.operators import residual as rsd
 from statloom.operators.staging import checkpoint_dir, shared
 from statloom.plans.tables import built_in
+from statloom.session import cluster_settings
 from statloom.workload.tables import DEMAND_SQL, demand
 from tests.oracle import compare
 
@@ -135,6 +136,13 @@ def test_foreign_key_checks_move_each_key_once(spark, small_dir, big_data_plans)
     assert len(re.findall(r"HashAggregate", text)) == 4
 
 
+def test_settings_grow_with_the_data():
+    small, large = cluster_settings(1 << 30, 8), cluster_settings(100 << 40, 8000)
+    assert int(small["spark.sql.shuffle.partitions"]) == 24
+    assert int(large["spark.sql.shuffle.partitions"]) == 51200
+    assert int(large["spark.sql.files.maxPartitionBytes"]) == 1 << 30
+
+
 def test_fixed_tables_are_broadcast_by_their_known_size(spark):
     labels = built_in(spark)["destinos_murciaturistica"]
     facts = spark.range(1000).select(F.col("id").cast("string").alias("destino"), "id")
