@@ -6,7 +6,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from statloom.llm import exact_dedup, mixing, quality_rules
+from statloom.llm import exact_dedup, minhash, mixing, packing, quality_rules
+from statloom.llm.queries import word_tokenizer
 from statloom.llm.staging import shared_folder
 
 
@@ -18,12 +19,26 @@ def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return exact_dedup.keep_one(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return minhash.keep_first(docs)
+
+
 def mixed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Packing does not depend on the order of the mix, so the final range sort is left out."""
     return mixing.mix(docs, ordered=False)
 
 
-STAGES = [("quality_rules", quality), ("exact_dedup", exact), ("mixing", mixed)]
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return packing.pack(docs, word_tokenizer())
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("exact_dedup", exact),
+    ("near_dedup", near),
+    ("mixing", mixed),
+    ("packing", packed),
+]
 
 #: Tokenising cannot be expressed in SQL; the run is tested against a brute-force version instead.
 ORACLE_SQL: str | None = None

@@ -75,12 +75,16 @@ def _filter(docs: DataFrame, id_col: str, text_col: str, bits_per_row: int) -> t
 
 def _exact(suspects: DataFrame) -> DataFrame:
     """Second pass over the suspects: best row and size of each group by its whole digest. Groups are
-    combined in each task; the join back is one that Spark can split where a group is hot."""
+    combined in each task and written; the join back has an exchange of its own on either side, so Spark
+    can split it where a group is hot."""
     rank = F.struct((-F.col("n_chars")).alias("c"), F.col("id").isNull().alias("z"), F.col("id"), F.col("row"))
-    best = suspects.groupBy(F.col("sha").alias("g_sha")).agg(F.min(rank).alias("best"), F.count("*").alias("group_size"))
-    return suspects.join(best, F.col("sha") == F.col("g_sha")).select(
-        "id", "tk", "n_chars", "sha", "group_size",
-        F.col("best.id").alias("keep_id"), (F.col("row") == F.col("best.row")).alias("kept"),
+    groups = suspects.groupBy(F.col("sha").alias("g_sha")).agg(F.min(rank).alias("best"), F.count("*").alias("n"))
+    best = stage(groups.where("n > 1").select("g_sha", "n", F.col("best.id").alias("best_id"), F.col("best.row").alias("best_row")))
+    single = F.col("n").isNull()
+    return suspects.join(best, F.col("sha") == F.col("g_sha"), "left").select(
+        "id", "tk", "n_chars", "sha", F.coalesce("n", F.lit(1)).alias("group_size"),
+        F.when(single, F.col("id")).otherwise(F.col("best_id")).alias("keep_id"),
+        (single | (F.col("row") == F.col("best_row"))).alias("kept"),
     )
 
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from statloom.llm import exact_dedup, mixing, quality_rules
+from statloom.llm import exact_dedup, minhash, mixing, packing, quality_rules
 
 QUERIES: dict = {}
 
@@ -28,6 +29,17 @@ def op3_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.shares(_documents(spark, sf_dir)).select("doc_id", "source", "size", "source_size", "target", "taken")
 
 
+def word_tokenizer() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("word_bpe_49k.json")
+
+
+@_query
+def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(_documents(spark, sf_dir), word_tokenizer())
+
+
 @_query
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.classes(_documents(spark, sf_dir)).select(
@@ -35,3 +47,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+
+
+@_query
+def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = minhash.near_duplicates(_documents(spark, sf_dir), width=2)
+    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
