@@ -2,8 +2,19 @@
 
 from __future__ import annotations
 
+from statloom.llm.license_scan import TEMPLATES
+from statloom.llm.url_filter import WORD_RULES
+
 _SPACE = r"[\x20\x09-\x0D]"
 
+
+def _template_rows() -> str:
+    return ", ".join(f"('{name}', '{body}')" for name, body in TEMPLATES.items())
+
+
+def _phrases() -> str:
+    return str([r.name for r in WORD_RULES])
+
 ORACLE: dict[str, str] = {
     "op1_quality_rules": rf"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
@@ -64,5 +75,37 @@ WITH d AS (SELECT doc_id, length(coalesce(text, '')) AS n, sha256(regexp_replace
 SELECT doc_id, first_value(doc_id) OVER g AS keep_id, count(*) OVER (PARTITION BY text_sha256) AS group_size,
   doc_id = first_value(doc_id) OVER g AS kept, text_sha256
 FROM d WINDOW g AS (PARTITION BY text_sha256 ORDER BY n DESC, doc_id)
+""",
+    "op2_license_scan": rf"""
+WITH t AS (SELECT * FROM (VALUES {_template_rows()}) AS t(license, body)),
+norm AS (SELECT license, list_filter(regexp_split_to_array(lower(body), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM t),
+tg AS (SELECT license, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS tg FROM norm),
+d AS (SELECT doc_id, coalesce(text, '') AS body FROM documents),
+parts AS (SELECT doc_id, 0 AS line, body FROM d
+  UNION ALL SELECT doc_id, i, string_split(body, chr(10))[i] FROM d, range(1, len(string_split(body, chr(10))) + 1) AS r(i)
+  WHERE len(string_split(body, chr(10))) > 1),
+pw AS (SELECT doc_id, line, list_filter(regexp_split_to_array(lower(body), '[^a-z0-9]+'), lambda x: x <> '') AS w FROM parts),
+pg AS (SELECT doc_id, line, list_distinct(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) AS g FROM pw),
+m AS (SELECT doc_id, license, line, len(list_intersect(g, tg)) AS shared, len(g) AS size, len(tg) AS template_size
+      FROM pg, tg WHERE len(g) > 0 AND len(tg) > 0 AND len(g) < 1000)
+SELECT doc_id, license, line = 0 AS whole, line::BIGINT AS line, shared, size, template_size,
+  (2 * shared) / (size + template_size) AS dice
+FROM m WHERE 200 * shared >= 80 * (size + template_size)
+""",
+    "op8_url_filter": rf"""
+WITH u AS (SELECT page_id, coalesce(url, '') AS url FROM pages),
+p AS (SELECT page_id, translate(regexp_extract(url, '(?s)^.*?://([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        regexp_extract(url, '(?s)^.*?://[^/?#]*([^?#]*)', 1) AS path FROM u),
+rules AS (SELECT * FROM (VALUES ('org', '/', 'allow'), ('example.org', '/es/', 'allow'), ('example.org', '/en/1', 'block'),
+            ('com', '/fr/', 'allow'), ('com', '/de/', 'block')) AS r(h, s, v)),
+fit AS (SELECT page_id, h || s AS rule, v FROM p, rules
+        WHERE (host = h OR ends_with(host, '.' || h)) AND starts_with(path, s)),
+top AS (SELECT page_id, rule, v FROM fit QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC, rule) = 1),
+phrases AS (SELECT unnest({_phrases()}) AS phrase),
+word AS (SELECT page_id, phrase FROM p, phrases WHERE regexp_matches(host || path, '(^|[^A-Za-z0-9])' || phrase || '($|[^A-Za-z0-9])')
+         QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(phrase) DESC, phrase) = 1)
+SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN v WHEN phrase IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
+  CASE WHEN rule IS NULL THEN phrase END AS pattern
+FROM p LEFT JOIN top USING (page_id) LEFT JOIN word USING (page_id)
 """,
 }

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import exact_dedup, minhash, mixing, packing, quality_rules
+from statloom.llm import exact_dedup, license_scan, minhash, mixing, packing, quality_rules, url_filter
 
 QUERIES: dict = {}
 
@@ -53,3 +53,13 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(_documents(spark, sf_dir), width=2)
     return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+
+
+@_query
+def op8_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge(spark.read.parquet(f"{sf_dir}/pages.parquet")).drop("n_candidates")
+
+
+@_query
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.scan(_documents(spark, sf_dir)).drop("tk")
