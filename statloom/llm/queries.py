@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, exact_dedup, license_scan, minhash, mixing, packing, quality_classifier, quality_rules, url_filter
+from statloom.llm import chat, exact_dedup, license_scan, minhash, mixing, packing, quality_classifier, quality_rules, suffix_dedup, url_filter
 
 QUERIES: dict = {}
 
@@ -81,3 +81,8 @@ def op9_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality_classifier.score(_documents(spark, sf_dir), labels)
+
+
+@_query
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir)).drop("kept")
