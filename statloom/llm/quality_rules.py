@@ -193,6 +193,9 @@ def keep_good(
     written and anti-joined; their true size decides how Spark joins them."""
     gone = removals(docs, id_col, text_col, host_col, limits).where("depleted")
     gone = stage(gone.select(F.col("id").alias("__id"), F.col("tk").alias("__tk")))
-    good = docs.where(~base(F.col(text_col))["base_failed"])
-    same = good[id_col].eqNullSafe(F.col("__id")) & (text_key(good[text_col]) == F.col("__tk"))
-    return good.join(gone, same, "left_anti")
+    packed = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
+        F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tk"), base(F.col(text_col)).alias("s"),
+    )
+    same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("tk") == F.col("__tk"))
+    return packed.where("not s.base_failed").select("doc", "id", "tk").join(gone, same, "left_anti").select("doc.*")
