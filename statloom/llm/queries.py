@@ -85,4 +85,4 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @_query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup.remove_repeats(_documents(spark, sf_dir)).drop("kept")
+    return suffix_dedup.remove_repeats(_documents(spark, sf_dir), with_bytes=False).drop("kept")

@@ -58,10 +58,11 @@ def items(data: np.ndarray, depth: int, digit: int) -> tuple[np.ndarray, ...]:
         return none
     prefix = prefix_hashes(data)
     _, down = powers(len(prefix))
-    h = mixed((prefix[digit:] - prefix[:-digit]) * down[: len(data) - digit + 1])
+    raw = (prefix[digit:] - prefix[:-digit]) * down[: len(data) - digit + 1]
+    h = (raw >> np.uint64(32)).astype(np.uint32)
     width = depth - digit + 1
     low = _sliding(h, width, np.minimum)
-    pad = np.zeros(width - 1, np.uint64)
+    pad = np.zeros(width - 1, np.uint32)
     chosen = np.flatnonzero(_sliding(np.concatenate([pad, low, pad]), width, np.maximum) == h)
     owner = np.searchsorted(chosen, np.arange(len(low)))
     wrong = np.flatnonzero(h[chosen[owner]] != low)
@@ -73,7 +74,7 @@ def items(data: np.ndarray, depth: int, digit: int) -> tuple[np.ndarray, ...]:
     place = chosen[owner[first]] - first
     content = span_hash(prefix, first, first + count - 1 + depth)
     content = mixed(content + (place * 256 + count).astype(np.uint64))
-    return first, count, place, h[chosen[owner[first]]], content
+    return first, count, place, mixed(raw[chosen[owner[first]]]), content
 
 
 def _bytes(text: str | None) -> np.ndarray:
@@ -104,10 +105,11 @@ def suffix_items(docs: DataFrame, id_col: str, text_col: str, depth: int, digit:
     return keyed.mapInArrow(run, "k1 long, k2 long, at long, digit long, content long")
 
 
-def repeated_digits(found: DataFrame, broadcast_bytes: int) -> DataFrame:
+def repeated_digits(found: DataFrame, n_bytes: int, stride: int, broadcast_bytes: int) -> DataFrame:
     """Pass 1: the items whose digit may occur twice. Digits are counted by slot, combined in each task;
-    the bitmap of the slots used twice is as large as the number of items asks for."""
-    blocks = max(1, -(-found.count() * BITS_PER_ITEM // BLOCK_BITS))
+    the bitmap of the slots used twice follows the size of the texts, with about one item per
+    ``stride`` bytes. A smaller or larger number of items only changes how many unique ones stay."""
+    blocks = max(1, -(-n_bytes * BITS_PER_ITEM // (stride * BLOCK_BITS)))
     slot = F.pmod(F.col("digit"), F.lit(blocks * BLOCK_BITS))
     twice = found.select(slot.alias("slot")).groupBy("slot").agg(F.count("*").alias("n")).where("n > 1")
     bitmap = stage(
@@ -138,19 +140,20 @@ def _contents(texts: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for z, at in zip(batch.column("z"), batch.column("at").to_pylist(), strict=True):
-                data = zlib.decompress(z.as_py())
-                out.append([data[a >> 16 : (a >> 16) + a % 256 + depth] for a in at])
-            owner = pa.array(np.repeat(np.arange(len(out)), [len(o) for o in out]))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column("k1").take(owner), batch.column("k2").take(owner),
-                    batch.column("at").flatten(), batch.column("digit").flatten(), batch.column("alone").flatten(),
-                    pa.array([x for o in out for x in o], pa.binary()),
-                ],
-                names=["k1", "k2", "at", "digit", "alone", "content"],
-            )
+            for first in range(0, batch.num_rows, 256):
+                part, out = batch.slice(first, 256), []
+                for z, at in zip(part.column("z"), part.column("at").to_pylist(), strict=True):
+                    data = zlib.decompress(z.as_py())
+                    out.append([data[a >> 16 : (a >> 16) + a % 256 + depth] for a in at])
+                owner = pa.array(np.repeat(np.arange(len(out)), [len(o) for o in out]))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("k1").take(owner), part.column("k2").take(owner),
+                        part.column("at").flatten(), part.column("digit").flatten(), part.column("alone").flatten(),
+                        pa.array([x for o in out for x in o], pa.binary()),
+                    ],
+                    names=["k1", "k2", "at", "digit", "alone", "content"],
+                )
 
     lists = wanted.groupBy("k1", "k2").agg(F.collect_list(F.struct("at", "digit", "alone")).alias("w"))
     lists = lists.select("k1", "k2", F.col("w.at").alias("at"), F.col("w.digit").alias("digit"), F.col("w.alone").alias("alone"))
@@ -158,38 +161,59 @@ def _contents(texts: DataFrame, wanted: DataFrame, depth: int) -> DataFrame:
     return joined.mapInArrow(run, "k1 long, k2 long, at long, digit long, alone boolean, content binary")
 
 
-def _window_hashes(content: bytes, at: int, depth: int) -> np.ndarray:
-    first = np.arange(at % 256 + 1)
-    return span_hash(prefix_hashes(np.frombuffer(content, np.uint8)), first, first + depth)
+def _split(part: pa.RecordBatch | pa.Table, depth: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The windows of the items of a batch: row of the item, start in its document, hash (with the digit)."""
+    at = part.column("at").to_numpy()
+    count = at % 256 + 1
+    owner = np.repeat(np.arange(len(at)), count)
+    inside = np.arange(len(owner)) - np.repeat(np.cumsum(count) - count, count)
+    size = count + depth - 1
+    first = (np.cumsum(size) - size)[owner] + inside
+    data = np.frombuffer(b"".join(part.column("content").to_pylist()), np.uint8)
+    digit = part.column("digit").to_numpy().view(np.uint64)[owner]
+    return owner, (at >> 16)[owner] + inside, mixed(span_hash(prefix_hashes(data), first, first + depth) + mixed(digit))
 
 
-def _runs(start: int, hit: np.ndarray, depth: int) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], hit.astype(np.int8), [0]])))
-    return [(start + int(a), start + int(b) - 1 + depth) for a, b in zip(edge[::2], edge[1::2], strict=True)]
+def _compare_groups(contents: DataFrame, depth: int) -> DataFrame:
+    """Pass 3 where the contents of a digit are few: spans of repeated windows.
 
+    Items come sorted by digit; a batch is compared at once, and the items of its last digit wait for
+    the next batch.
+    """
 
-def _compare_groups(contents: DataFrame, depth: int) -> DataFrame:
-    """Pass 3 where the contents of a digit fit into one task: spans of repeated windows."""
-
-    def run(table: pa.Table) -> pa.Table:
-        at, alone = table.column("at").to_pylist(), table.column("alone").to_pylist()
-        hashes = [_window_hashes(c.as_py(), a, depth) for c, a in zip(table.column("content"), at, strict=True)]
-        _, which, count = np.unique(np.concatenate(hashes), return_inverse=True, return_counts=True)
-        hit = np.split(count[which] > 1, np.cumsum([len(h) for h in hashes])[:-1])
-        owner, spans = [], []
-        for k, (a, own) in enumerate(zip(at, alone, strict=True)):
-            for span in _runs(a >> 16, hit[k], depth) if own else []:
-                owner.append(k)
-                spans.append(span)
-        owner = pa.array(owner, pa.int64())
-        return pa.table(
-            {
-                "k1": table.column("k1").take(owner), "k2": table.column("k2").take(owner),
-                "start": pa.array([s[0] for s in spans], pa.int64()), "stop": pa.array([s[1] for s in spans], pa.int64()),
-            }
+    def spans(part: pa.Table) -> pa.RecordBatch:
+        owner, start, window = _split(part, depth)
+        _, which, count = np.unique(window, return_inverse=True, return_counts=True)
+        alone = part.column("alone").to_numpy()
+        hit = (count[which] > 1) & alone[owner]
+        joined = hit[1:] & hit[:-1] & (owner[1:] == owner[:-1])
+        begin, end = hit.copy(), hit.copy()
+        begin[1:] &= ~joined
+        end[:-1] &= ~joined
+        rows = pa.array(owner[begin])
+        return pa.RecordBatch.from_arrays(
+            [
+                *(part.column(c).combine_chunks().take(rows) for c in ("k1", "k2")),
+                pa.array(start[begin]), pa.array(start[end] + depth),
+            ],
+            names=["k1", "k2", "start", "stop"],
         )
 
-    return contents.groupBy("digit").applyInArrow(run, "k1 long, k2 long, start long, stop long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: pa.Table | None = None
+        for batch in batches:
+            part = pa.Table.from_batches([batch])
+            part = part if held is None else pa.concat_tables([held, part])
+            digit = part.column("digit").to_numpy()
+            whole = int(np.argmax(digit == digit[-1])) if len(digit) else 0
+            held = part.slice(whole).combine_chunks()
+            if whole:
+                yield spans(part.slice(0, whole).combine_chunks())
+        if held is not None and held.num_rows:
+            yield spans(held)
+
+    placed = contents.repartition("digit").sortWithinPartitions("digit")
+    return placed.mapInArrow(run, "k1 long, k2 long, start long, stop long")
 
 
 def _compare_counts(contents: DataFrame, depth: int) -> DataFrame:
@@ -199,12 +223,10 @@ def _compare_counts(contents: DataFrame, depth: int) -> DataFrame:
         for batch in batches:
             for first in range(0, batch.num_rows, 2000):
                 part = batch.slice(first, 2000)
-                at = part.column("at").to_pylist()
-                hashes = [_window_hashes(c.as_py(), a, depth) for c, a in zip(part.column("content"), at, strict=True)]
-                owner = pa.array(np.repeat(np.arange(len(at)), [len(h) for h in hashes]))
-                start = np.concatenate([(a >> 16) + np.arange(len(h)) for a, h in zip(at, hashes, strict=True)])
+                owner, start, window = _split(part, depth)
+                rows = pa.array(owner)
                 yield pa.RecordBatch.from_arrays(
-                    [*(part.column(c).take(owner) for c in ("k1", "k2", "digit", "alone")), pa.array(start), _long(np.concatenate(hashes))],
+                    [*(part.column(c).take(rows) for c in ("k1", "k2", "digit", "alone")), pa.array(start), _long(window)],
                     names=["k1", "k2", "digit", "alone", "start", "window"],
                 )
 
@@ -214,21 +236,30 @@ def _compare_counts(contents: DataFrame, depth: int) -> DataFrame:
     return hit.select("k1", "k2", "start", (F.col("start") + depth).alias("stop"))
 
 
-def _cut(joined: DataFrame, id_kind: str) -> DataFrame:
+def _cut(joined: DataFrame, id_kind: str, with_bytes: bool) -> DataFrame:
+    def cut(z: pa.Scalar, starts: list[int] | None, stops: list[int] | None) -> tuple:
+        data = np.frombuffer(zlib.decompress(z.as_py()), np.uint8)
+        if not starts:
+            return len(data), 0, 0, hashlib.sha256(data).hexdigest(), data.tobytes() if with_bytes else None
+        change = np.zeros(len(data) + 1, np.int32)
+        np.add.at(change, np.array(starts, np.int64), 1)
+        np.add.at(change, np.array(stops, np.int64), -1)
+        gone = np.cumsum(change)[:-1] > 0
+        kept = data[~gone].tobytes()
+        runs = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
+        return len(data), int(gone.sum()), runs, hashlib.sha256(kept).hexdigest(), kept if with_bytes else None
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary())
         for batch in batches:
-            rows = []
-            for z, starts, stops in zip(batch.column("z"), batch.column("start").to_pylist(), batch.column("stop").to_pylist(), strict=True):
-                data = np.frombuffer(zlib.decompress(z.as_py()), np.uint8)
-                change = np.zeros(len(data) + 1, np.int64)
-                np.add.at(change, np.array(starts or [], np.int64), 1)
-                np.add.at(change, np.array(stops or [], np.int64), -1)
-                gone = np.cumsum(change)[:-1] > 0
-                spans = int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum())
-                kept = data[~gone].tobytes()
-                rows.append((len(data), int(gone.sum()), spans, hashlib.sha256(kept).hexdigest(), kept))
-            columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()))]
-            yield pa.RecordBatch.from_arrays([batch.column("id"), *columns], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                spans = zip(part.column("start").to_pylist(), part.column("stop").to_pylist(), strict=True)
+                rows = [cut(z, a, b) for z, (a, b) in zip(part.column("z"), spans, strict=True)]
+                columns = [pa.array([r[k] for r in rows], t) for k, t in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("id"), *columns], names=["id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "kept"]
+                )
 
     return joined.select("id", "z", "start", "stop").mapInArrow(
         run, f"id {id_kind}, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary"
@@ -240,8 +271,10 @@ def _zipped(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            z = [zlib.compress(_bytes(t.as_py()).tobytes(), 1) for t in batch.column(3)]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(z, pa.binary())], names=["id", "k1", "k2", "z"])
+            for first in range(0, batch.num_rows, 256):
+                part = batch.slice(first, 256)
+                z = [zlib.compress(_bytes(t.as_py()), 1) for t in part.column(3)]
+                yield pa.RecordBatch.from_arrays([*part.columns[:3], pa.array(z, pa.binary())], names=["id", "k1", "k2", "z"])
 
     text = F.col(text_col)
     keyed = docs.select(F.col(id_col).alias("id"), F.xxhash64(F.col(id_col)).alias("k1"), text_key(text).alias("k2"), text.cast("string").alias("text"))
@@ -256,8 +289,10 @@ def remove_repeats(
     digit: int = DIGIT,
     group_items: int = GROUP_ITEMS,
     broadcast_bytes: int = BROADCAST_BYTES,
+    with_bytes: bool = True,
 ) -> DataFrame:
-    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes).
+    """One row per document: id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, or
+    NULL without ``with_bytes``).
 
     Every byte covered by a window of ``depth`` bytes that starts anywhere else too is removed, judged on
     the input. Texts are UTF-8; NULL counts as empty; shorter texts lose nothing. Repeated rows repeat
@@ -265,7 +300,9 @@ def remove_repeats(
     """
     if not 0 < depth - digit < 255:
         raise ValueError("a window may exceed its digit by 1 to 254 bytes")
-    found = stage(repeated_digits(suffix_items(docs, id_col, text_col, depth, digit), broadcast_bytes))
+    n_bytes = docs.agg(F.sum(F.octet_length(F.col(text_col).cast("string")))).first()[0] or 0
+    found = suffix_items(docs, id_col, text_col, depth, digit)
+    found = stage(repeated_digits(found, n_bytes, (depth - digit + 2) // 2, broadcast_bytes))
     mark = F.xxhash64("k1", "k2", "at")
     contents = found.groupBy("digit", "content").agg(F.count("*").alias("n"), F.min(mark).alias("head"))
     contents = stage(contents)
@@ -294,4 +331,4 @@ def remove_repeats(
     lists = lists.select(F.col("k1").alias("w1"), F.col("k2").alias("w2"), F.col("s.start").alias("start"), F.col("s.stop").alias("stop"))
     joined = texts.join(lists, (F.col("k1") == F.col("w1")) & (F.col("k2") == F.col("w2")), "left")
     kind = dict(docs.select(F.col(id_col).alias("id")).dtypes)["id"]
-    return _cut(joined, kind).withColumnRenamed("id", id_col)
+    return _cut(joined, kind, with_bytes).withColumnRenamed("id", id_col)
