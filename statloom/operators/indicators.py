@@ -143,9 +143,27 @@ def months_share(
 
 
 def seasonality_order(profile: DataFrame, group: str, month: str, value: str) -> DataFrame:
-    """Peaks and troughs of the groups, the most seasonal (highest peak) first."""
+    """Peaks and troughs of the groups with their place, 1 for the most seasonal (highest peak).
+
+    The window runs over one row per group.
+    """
     peaks = peak_and_trough(profile, group, month, value)
-    return peaks.orderBy(F.col("peak_value").desc(), F.col(group))
+    place = F.row_number().over(Window.orderBy(F.col("peak_value").desc(), F.col(group)))
+    return peaks.withColumn("puesto", place)
+
+
+def month_against_month(
+    profile: DataFrame, group: str, month: str, value: str, first: int, second: int
+) -> DataFrame:
+    """Shares of two months of each group, their difference and whether the first is above."""
+    of = lambda m: F.max(F.when(F.col(month) == m, F.col(value)))
+    both = profile.filter(F.col(month).isin(first, second)).groupBy(group)
+    pair = both.agg(of(first).alias("pct_a"), of(second).alias("pct_b"))
+    known = pair.filter(F.col("pct_a").isNotNull() & F.col("pct_b").isNotNull())
+    return known.select(
+        group, "pct_a", "pct_b", (F.col("pct_a") - F.col("pct_b")).alias("diferencia"),
+        (F.col("pct_a") > F.col("pct_b")).alias("supera"),
+    )
 
 
 def seasonality_extremes(profile: DataFrame, group: str, month: str, value: str) -> DataFrame:
@@ -175,12 +193,15 @@ def two_month_swing(
     )
 
 
+def change_against_base(annual: DataFrame, year: str, index: str = "indice") -> DataFrame:
+    """Every group in the last year with its change against the base year in percent."""
+    last = annual.agg(F.max(year)).scalar()
+    return annual.filter(F.col(year) == last).withColumn("frente_a_base", F.col(index) - 100)
+
+
 def below_base(annual: DataFrame, year: str, index: str = "indice") -> DataFrame:
     """Groups of the last year still under the base, with their distance to it."""
-    last = annual.agg(F.max(year)).scalar()
-    return annual.filter((F.col(year) == last) & (F.col(index) < 100)).withColumn(
-        "frente_a_base", F.col(index) - 100
-    )
+    return change_against_base(annual, year, index).filter(F.col(index) < 100)
 
 
 def against_group(df: DataFrame, group: str, order: str, value: str, other: str) -> DataFrame:

@@ -89,13 +89,18 @@ def _keys(df: DataFrame, col: str, name: str) -> DataFrame:
     return df.select(F.col(col).alias(name)).distinct()
 
 
-def check_relationship(df: DataFrame, col: str, to: DataFrame, field: str) -> DataFrame:
+def check_relationship(
+    df: DataFrame, col: str, to: DataFrame, field: str, rows: str | None = None
+) -> DataFrame:
     """Keys without a row in the parent, with the number of rows that use them.
 
+    ``rows`` is a column that says how many rows each row of ``df`` stands for.
+
     Both sides are reduced to their keys before the join, so a frequent key reaches it as one
     row on either side; the join reuses the partitioning of the two aggregates.
     """
-    used = df.filter(F.col(col).isNotNull()).groupBy(col).agg(F.count(F.lit(1)).alias("filas"))
+    count = F.count(F.lit(1)) if rows is None else F.sum(rows)
+    used = df.filter(F.col(col).isNotNull()).groupBy(col).agg(count.alias("filas"))
     return used.join(_keys(to, field, col), col, "left_anti")
 
 

@@ -1,33 +1,15 @@
-"""Compute a small shared intermediate once."""
+"""Compute a shared intermediate once."""
 
 from __future__ import annotations
 
-import tempfile
-
-from pyspark.sql import DataFrame, SparkSession
-
-
-def checkpoint_dir(spark: SparkSession) -> str | None:
-    """Shared checkpoint folder of the session.
-
-    A cluster names it in ``spark.checkpoint.dir``. Only a local session without one gets a
-    temporary folder; on a cluster nothing machine-local is ever used.
-    """
-    sc = spark.sparkContext
-    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
-    folder = sc.getCheckpointDir() or named
-    if folder is None and sc.master.startswith("local"):
-        folder = tempfile.mkdtemp(prefix="statloom-")
-    if folder is not None and sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return folder
+from pyspark.sql import DataFrame
 
 
 def shared(df: DataFrame) -> DataFrame:
-    """Write an aggregate that several branches of a plan read to the checkpoint folder.
+    """An aggregate that several branches of a plan read, kept in memory and on the executors' disks.
 
-    Without it every branch would scan and join the base tables again. The files are on
-    shared storage, so the loss of an executor does not bring the base scan back. Where no
-    folder is configured the plan is left as it is: same result, more scans.
+    Nothing runs here: the first branch that is computed fills the cache, column by column, and the
+    others read the columns they need with sizes the planner knows. A lost executor's part is computed
+    again from its source. ``spark.catalog.clearCache()`` or ``unpersist()`` frees it.
     """
-    return df if checkpoint_dir(df.sparkSession) is None else df.checkpoint()
+    return df.persist()

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -12,6 +14,10 @@ from statloom.plans import fixed_values as fx
 from statloom.sources.reference import fixed_table
 from statloom.sources.schemas import SERIES_CATALOGUE, I, S, table
 
+class MissingTable(ValueError):
+    """A declared source table has no metadata."""
+
+
 KEY = ("hecho", "tipo_alojamiento", "territorio", "medida", "residencia")
 
 
@@ -47,7 +53,10 @@ def source_tables(df: DataFrame) -> DataFrame:
 
 
 def classify_series(metadata: DataFrame) -> DataFrame:
-    """Every series with its classification, or the reason why it has none."""
+    """Every series with its classification, or the reason why it has none.
+
+    A series whose metadata name several territories takes the first in the declared order.
+    """
     known = _read_entries(metadata).join(source_tables(metadata), "tabla_id")
     known = known.withColumn("_t", _territories())
     prices = F.col("hecho") == "precios"
@@ -62,14 +71,6 @@ def classify_series(metadata: DataFrame) -> DataFrame:
         Translate("medida", data_type, fx.PRICE_MEASURES, "data type", when=prices),
         Discard(~prices & (data_type != fx.PLAIN_DATA)),
         Translate("medida", _entry(fx.CONCEPT), fx.MEASURES, "concept", when=~prices),
-        # Two different territories for one series: neither can be preferred.
-        Translate(
-            "territorio_leido",
-            F.when(F.size("_t") > 1, F.array_join(F.transform("_t", lambda t: t["id"]), "+")),
-            {"": ""},
-            "territory",
-            absent="",
-        ),
     ]
     return (
         classify(known, "COD", steps)
@@ -96,16 +97,30 @@ def catalogue_rows(rows: DataFrame) -> DataFrame:
     )
 
 
-def series_catalogue(metadata: DataFrame) -> DataFrame:
-    """Catalogue of all series of the metadata documents.
+def reject_missing(metadata: DataFrame, tables: Sequence[int] | None = None) -> None:
+    """Fail with the numbers of the source tables that have no metadata; at most one row per
+    declared table is looked at."""
+    wanted = source_tables(metadata).select("tabla_id")
+    if tables is not None:
+        wanted = wanted.filter(F.col("tabla_id").isin(list(tables)))
+    absent = wanted.join(metadata.select("tabla_id").distinct(), "tabla_id", "left_anti")
+    numbers = sorted(r[0] for r in absent.collect())
+    if numbers:
+        raise MissingTable(f"no metadata for the source tables {numbers}")
+
+
+def series_catalogue(metadata: DataFrame, tables: Sequence[int] | None = None) -> DataFrame:
+    """Catalogue of all series of the metadata documents of ``tables`` (None: all declared ones).
 
-    Fails with a sample when a value is not in the dictionaries: better to look at it than to
-    classify a series wrongly.
+    Fails when one of these has no metadata, and with a sample when a value is not in the
+    dictionaries: better to look at it than to classify a series wrongly.
     """
+    reject_missing(metadata, tables)
     return catalogue_rows(reject_unknown(classify_series(metadata)))
 
 
 def write_catalogue(catalogue: DataFrame, folder: str) -> None:
     """Catalogue as one CSV file with a header, to be reviewed and versioned."""
-    writer = catalogue.coalesce(1).write.mode("overwrite").option("header", True)
+    order = ["hecho", "tipo_alojamiento", "nivel_territorio", "codigo"]
+    writer = catalogue.repartition(1).sortWithinPartitions(*order).write.mode("overwrite").option("header", True)
     writer.option("escape", '"').option("emptyValue", "").csv(folder)

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from statloom.operators import quality as q
 from statloom.operators import reconcile as rec
 from statloom.operators.residual import unbalanced_totals
+from statloom.operators.staging import shared
 from statloom.plans import fixed_values as fx
 from statloom.plans.silver import OCCUPANCY
 from statloom.sources.schemas import COUNTS, PERCENTAGES
@@ -121,10 +122,12 @@ def key_checks(t: Tables) -> list[q.Check]:
             rows = q.check_unique_values(t[table], cols[0]) if one else q.check_unique(t[table], cols)
             kind = "unique" if one else "unique_combination"
             checks.append(q.Check(f"{kind} {table}({', '.join(cols)})", rows))
-        for col, (parent, field) in RELATIONSHIPS.get(table, {}).items():
-            if parent in t:
-                rows = q.check_relationship(t[table], col, t[parent], field)
-                checks.append(q.Check(f"relationships {table}.{col} -> {parent}", rows))
+        keys = {c: to for c, to in RELATIONSHIPS.get(table, {}).items() if to[0] in t}
+        # The key tuples in use are counted once; every parent is checked against these few rows.
+        used = shared(t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))) if keys else None
+        for col, (parent, field) in keys.items():
+            rows = q.check_relationship(used, col, t[parent], field, "_n")
+            checks.append(q.Check(f"relationships {table}.{col} -> {parent}", rows))
     return checks
 
 

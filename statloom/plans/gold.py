@@ -14,7 +14,7 @@ from statloom.sources.schemas import COUNTS, GOLD, PERCENTAGES
 
 
 def _contract(df: DataFrame, name: str) -> DataFrame:
-    return enforce(df.select(GOLD[name].names), GOLD[name])
+    return enforce(df, GOLD[name])
 
 
 def calendar(observations: DataFrame, occupancy: DataFrame) -> DataFrame:
@@ -24,7 +24,7 @@ def calendar(observations: DataFrame, occupancy: DataFrame) -> DataFrame:
 
 def territories(reference: DataFrame) -> DataFrame:
     detailed = is_broken_down("nivel", "nombre", fx.LEAF_LEVEL, fx.NOT_BROKEN_DOWN)
-    return _contract(reference.withColumn("es_desglosado", detailed), "dim_territorio")
+    return _contract(reference.withColumn("es_desglosado", detailed).drop("nombre_en_fuente"), "dim_territorio")
 
 
 def accommodation_types(reference: DataFrame) -> DataFrame:
@@ -42,9 +42,8 @@ def _wide(observations: DataFrame, fact: str, names, by=(), published=None) -> D
     rows = observations.filter(F.col("hecho") == fact)
     wide = pivot_measures(rows, keys, "medida", "valor", names, flags, published)
     renamed = {"territorio": "territorio_id", "tipo_alojamiento": "tipo_alojamiento_id"}
-    return wide.withColumnsRenamed(renamed).withColumns(
-        {"fecha_id": month_key("fecha"), "fuente": F.lit(fx.OFFICE)}
-    )
+    dated = wide.withColumns({"fecha_id": month_key("fecha"), "fuente": F.lit(fx.OFFICE)})
+    return dated.withColumnsRenamed(renamed).drop("fecha")
 
 
 def demand(observations: DataFrame, occupancy: DataFrame, territory: DataFrame) -> DataFrame:
@@ -70,9 +69,8 @@ def demand(observations: DataFrame, occupancy: DataFrame, territory: DataFrame)
         }
     )
     measures = ("viajeros", "pernoctaciones")
-    columns = GOLD["fct_demanda_mensual"].names
-    office = office.withColumns({m: to_count(m) for m in measures}).select(columns)
-    portal = portal.withColumns({m: F.col(m).cast("bigint") for m in measures}).select(columns)
+    office = office.withColumns({m: to_count(m) for m in measures})
+    portal = portal.withColumns({m: F.col(m).cast("bigint") for m in measures}).drop("fecha")
     both = office.unionByName(portal).filter(any_published(*measures))
     return _contract(both, "fct_demanda_mensual")
 
@@ -81,6 +79,7 @@ def supply(observations: DataFrame) -> DataFrame:
     """Establishments, places, staff and occupancy rates per month, territory and type."""
     wide = _wide(observations, "oferta", (*COUNTS, *PERCENTAGES), published="_publicadas")
     rows = wide.filter("_publicadas > 0").withColumns({m: to_count(m) for m in COUNTS})
+    rows = rows.drop("_publicadas")
     return _contract(rows, "fct_oferta_mensual")
 
 
@@ -88,5 +87,5 @@ def prices(observations: DataFrame) -> DataFrame:
     """Price index and its change on the same month of the previous year."""
     names = ("indice_precios", "variacion_interanual_precios")
     wide = _wide(observations, "precios", names).withColumnRenamed(names[1], "variacion_interanual")
-    rows = wide.filter(any_published("indice_precios", "variacion_interanual"))
+    rows = wide.filter(any_published("indice_precios", "variacion_interanual")).drop("tiene_secreto")
     return _contract(rows, "fct_precios_mensual")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import argparse
 import datetime
+import json
 from collections.abc import Mapping
 from functools import partial, reduce
 
@@ -15,7 +16,8 @@ from statloom.operators.periods import published_periods
 from statloom.plans import bronze, checks, gold, indicators, release, silver
 from statloom.plans.tables import from_csv
 from statloom.sources.schemas import GOLD
-from statloom.sources.store import read_table, replace_table
+from statloom.sources import files
+from statloom.sources.store import read_table, replace_table, show_version, write_version
 
 #: Sort order inside the files of each written table.
 ORDER = {
@@ -83,8 +85,9 @@ def build_silver(
 
 def build_gold(
     spark: SparkSession, lake: str, t: Mapping[str, DataFrame]
-) -> dict[str, DataFrame]:
-    """The star schema from silver and the reference tables, every table written."""
+) -> tuple[dict[str, DataFrame], dict[str, str]]:
+    """The star schema from silver and the reference tables, every table written as a new version
+    that readers do not see yet; the tables read back, and the versions by name."""
     observations, occupancy = t["int_ine__observaciones"], t["int_mt__ocupacion_destino"]
     star = {
         "dim_fecha": gold.calendar(observations, occupancy),
@@ -95,7 +98,8 @@ def build_gold(
         "fct_oferta_mensual": gold.supply(observations),
         "fct_precios_mensual": gold.prices(observations),
     }
-    return {name: _write(spark, lake, "gold", name, df) for name, df in star.items()}
+    versions = {n: write_version(df, f"{lake}/gold/{n}", ORDER.get(n, []))[0] for n, df in star.items()}
+    return {n: spark.read.parquet(f"{lake}/gold/{n}/{v}") for n, v in versions.items()}, versions
 
 
 def run(
@@ -124,9 +128,11 @@ def run(
     clean = build_silver(spark, lake, reference)
     between = checks.silver_checks(clean, complete_data)
     reports.append(q.gate(spark, checks.layer_report(clean, between)))
-    star = build_gold(spark, lake, clean)
+    star, versions = build_gold(spark, lake, clean)
     between = checks.gold_checks(star, reference["excepciones_cuadre"])
     reports.append(q.gate(spark, checks.layer_report(star, between)))
+    for name, version in versions.items():
+        show_version(spark, f"{lake}/gold/{name}", version)
     out = {
         **indicators.all_indicators({**reference, **star}),
         "_cargas": spark.read.parquet(f"{lake}/bronze/_cargas"),
@@ -138,15 +144,15 @@ def run(
 
 
 def write_indicators(sections: Mapping[str, DataFrame], folder: str) -> None:
-    """Each section as one JSON lines file; sections are small aggregates."""
+    """Each section as JSON lines; part files keep the order of the section."""
     for name, df in sections.items():
-        df.coalesce(1).write.mode("overwrite").option("ignoreNullFields", False).json(
+        df.write.mode("overwrite").option("ignoreNullFields", False).json(
             f"{folder}/{name.lstrip('_')}"
         )
 
 
 def document(sections: Mapping[str, DataFrame]) -> dict[str, list[dict]]:
-    """The indicator sections as one JSON-ready document.
+    """The indicator sections as lists of plain rows.
 
     Only finished indicators are collected: groups × months, never facts.
     """
@@ -161,6 +167,28 @@ def document(sections: Mapping[str, DataFrame]) -> dict[str, list[dict]]:
     }
 
 
+def report_document(sections: Mapping[str, DataFrame], generated: str | None = None) -> dict:
+    """All indicators as one document: ``meta`` with the complete years of both bases,
+    ``cuadre`` with its documented exceptions, ``generado``, then the other sections."""
+    rows = document(sections)
+    meta, balance = rows.pop("meta")[0], rows.pop("cuadre")[0]
+    for base in ("mt", "ine"):
+        meta[f"anios_completos_{base}"] = [r["anio"] for r in rows.pop(f"anios_completos_{base}")]
+    balance["excepciones"] = rows.pop("excepciones")
+    return {
+        "generado": generated or datetime.date.today().isoformat(), "meta": meta, "cuadre": balance, **rows
+    }
+
+
+def write_document(
+    spark: SparkSession, sections: Mapping[str, DataFrame], path: str, generated: str | None = None
+) -> dict:
+    """Write the one document to storage and return it."""
+    found = report_document(sections, generated)
+    files.write_text(spark, path, json.dumps(found, ensure_ascii=False, indent=1) + "\n")
+    return found
+
+
 def main(argv: list[str] | None = None) -> None:
     """``spark-submit`` entry point: one monthly run on the session of the cluster."""
     parser = argparse.ArgumentParser(description="Monthly run from raw documents to the package")
@@ -181,6 +209,7 @@ def main(argv: list[str] | None = None) -> None:
     )
     if args.indicators:
         write_indicators(out, args.indicators)
+        write_document(spark, out, f"{args.indicators}/indicadores.json")
 
 
 if __name__ == "__main__":

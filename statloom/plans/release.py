@@ -53,14 +53,13 @@ def publish(
 ) -> dict:
     """Write the package and return its contract.
 
-    A previous package in the folder is replaced; only names that the package itself writes
-    are touched, and only they enter the checksum list.
+    A previous package in the folder is replaced: tables that its contract lists and the new one
+    lacks are removed once the new package is written. Other names are not touched.
     """
     if not tables:
         raise ValueError("gold has no tables to publish")
-    for old in files.list_names(spark, folder, True):
-        if old.endswith(".parquet"):
-            files.remove(spark, f"{folder}/{old}")
+    before = f"{folder}/{CONTRACT_FILE}"
+    listed = json.loads(files.read_text(spark, before))["tablas"] if files.exists(spark, before) else {}
     export(tables, folder)
     written = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in tables}
     document = contract(written, version)
@@ -72,4 +71,6 @@ def publish(
     sums.append(checksums(spark, f"{folder}/{CONTRACT_FILE}"))
     lines = [f"{r.sha256}  {r.fichero}" for part in sums for r in part.toLocalIterator()]
     files.write_text(spark, f"{folder}/{CHECKSUM_FILE}", "\n".join(lines) + "\n")
+    for old in set(listed) - set(tables):
+        files.remove(spark, f"{folder}/{old}.parquet")
     return document

@@ -21,12 +21,10 @@ from statloom.functions.columns import number
 CHARSET = re.compile(rb"charset=[\"']?([\w-]+)", re.IGNORECASE)
 
 
-# Largest spans that the HTML standard allows.
-SPAN_LIMITS = {"colspan": 1000, "rowspan": 65534}
-
-
-def _span(text: str | None, top: int) -> int:
-    return min(max(int(text), 1), top) if text and text.strip().isdigit() else 1
+def _span(text: str | None) -> int:
+    """A declared span; anything but ASCII digits counts as one cell."""
+    text = (text or "").strip()
+    return max(int(text), 1) if text.isascii() and text.isdecimal() else 1
 
 
 class _TableRead(Exception):
@@ -64,7 +62,7 @@ class _FirstTable(HTMLParser):
         elif tag in ("td", "th"):
             self._end_cell()
             sizes = dict(attrs)
-            self.span = tuple(_span(sizes.get(k), top) for k, top in SPAN_LIMITS.items())
+            self.span = (_span(sizes.get("colspan")), _span(sizes.get("rowspan")))
             self.cell = []
         elif tag == "br" and self.cell is not None:
             self.cell.append(" ")
@@ -86,7 +84,7 @@ class _FirstTable(HTMLParser):
 
 
 def _decode(content: bytes) -> str:
-    declared = CHARSET.search(content[:4096])
+    declared = CHARSET.search(content)
     for encoding in ([declared[1].decode()] if declared else []) + ["utf-8"]:
         try:
             return content.decode(encoding)
@@ -95,8 +93,11 @@ def _decode(content: bytes) -> str:
     return content.decode("cp1252", "replace")
 
 
-def table_rows(content: bytes | str) -> list[list[str | None]]:
-    """Rows of the first table with spans filled in; an empty cell is None."""
+def table_rows(content: bytes | str, width: int | None = None) -> list[list[str | None]]:
+    """Rows of the first table with spans filled in; an empty cell is None.
+
+    With a ``width`` no row may be wider: a small page cannot expand without bound.
+    """
     parser = _FirstTable()
     with contextlib.suppress(_TableRead):
         parser.feed(content if isinstance(content, str) else _decode(content))
@@ -116,6 +117,8 @@ def table_rows(content: bytes | str) -> list[list[str | None]]:
                 row.append(text)
                 continue
             text, wide, tall = waiting.pop(0)
+            if width is not None and len(row) + wide > width:
+                raise ValueError(f"a row spans more than {width} columns")
             for _ in range(wide):
                 if tall > 1:
                     carried[len(row)] = (tall - 1, text)
@@ -142,14 +145,18 @@ def html_tables(
 
     def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            out = []
             for *page, data in batch[[*keys, content]].itertuples(index=False, name=None):
-                rows = table_rows(data if isinstance(data, str) else bytes(data))
+                try:
+                    rows = table_rows(data if isinstance(data, str) else bytes(data), width)
+                except ValueError as error:
+                    raise ValueError(f"{page[0]}: {error}") from error
                 if max((len(r) for r in rows), default=0) != width:
                     raise ValueError(f"{page[0]}: expected a table of {width} columns")
-                for i, row in enumerate(rows[skip_rows:], 1):
-                    out.append((*page, i, *row, *[None] * (width - len(row))))
-            yield pd.DataFrame(out, columns=[*keys, "fila", *names])
+                out = [
+                    (*page, i, *row, *[None] * (width - len(row)))
+                    for i, row in enumerate(rows[skip_rows:], 1)
+                ]
+                yield pd.DataFrame(out, columns=[*keys, "fila", *names])
 
     schema = T.StructType(
         [documents.schema[k] for k in keys]

@@ -35,29 +35,41 @@ def replace_table(
     """Replace a whole table and return its row count.
 
     The new version goes to its own directory and becomes visible when the pointer file is
-    renamed, so readers never see half a table and a failed job leaves the old one. Rows are
-    counted while they are written. Files are sorted inside each partition, which is what
-    min/max pruning needs; there is no global sort.
+    renamed, so readers never see half a table and a failed job leaves the old one.
+    """
+    version, rows = write_version(df, folder, order, partition_by)
+    if rows == 0 and not allow_empty:
+        files.remove(df.sparkSession, f"{folder}/{version}")
+        raise EmptyLoad(f"the load of {folder} produced no rows")
+    show_version(df.sparkSession, folder, version, keep)
+    return rows
+
+
+def write_version(
+    df: DataFrame, folder: str, order: Sequence[str] = (), partition_by: Sequence[str] = ()
+) -> tuple[str, int]:
+    """Write a version that no reader sees yet; its name and its row count.
+
+    Rows are counted while they are written. They are dealt out by ranges of the order key and
+    sorted inside each file, so that files cover separate ranges and min/max pruning works.
     """
-    spark = df.sparkSession
     version = _new_version()
     counted = Observation()
-    out = df.observe(counted, F.count(F.lit(1)).alias("filas"))
-    if order:
-        out = out.sortWithinPartitions(*order)
-    writer = out.write.option("compression", "zstd")
+    out = df.repartitionByRange(*order).sortWithinPartitions(*order) if order else df
+    # After the exchange: its sampling of the order key would count rows twice.
+    writer = out.observe(counted, F.count(F.lit(1)).alias("filas")).write.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(f"{folder}/{version}")
-    rows = counted.get["filas"]
-    if rows == 0 and not allow_empty:
-        files.remove(spark, f"{folder}/{version}")
-        raise EmptyLoad(f"the load of {folder} produced no rows")
+    return version, counted.get["filas"]
+
+
+def show_version(spark: SparkSession, folder: str, version: str, keep: int = 2) -> None:
+    """Make a written version the current one and remove all but the last ``keep`` versions."""
     files.write_text(spark, f"{folder}/{POINTER}", version)
-    versions = [n for n in files.list_names(spark, folder, True) if n.startswith("v")]
-    for old in [n for n in versions if n != version][: -max(keep - 1, 1)]:
+    older = sorted(n for n in files.list_names(spark, folder, True) if n.startswith("v") and n != version)
+    for old in older[: max(len(older) - (keep - 1), 0)]:
         files.remove(spark, f"{folder}/{old}")
-    return rows
 
 
 def current_path(spark: SparkSession, folder: str) -> str:

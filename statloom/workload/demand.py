@@ -32,12 +32,12 @@ def complete_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 PROFILE_SQL = """
-por_mes as (
-    select tipo, mes, sum(pernoctaciones) as p
-    from base where anio in (select anio from completos) group by tipo, mes
-),
+vivos as (select base.* from base semi join completos using (anio)),
+totales as (select tipo, sum(pernoctaciones) as total from vivos group by tipo),
 perfil as (
-    select tipo, mes, p, 100 * p / sum(p) over (partition by tipo) as pct from por_mes
+    select v.tipo, v.mes, sum(v.pernoctaciones) as p,
+           100 * sum(v.pernoctaciones) / any_value(t.total) as pct
+    from vivos v join totales t on t.tipo = v.tipo group by v.tipo, v.mes
 )"""
 
 
@@ -52,15 +52,14 @@ def seasonal_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 ANNUAL_SQL = f"""
-por_anio as (
+sumas as (
     select tipo, anio, sum(pernoctaciones) as pernoctaciones
-    from base where anio in (select anio from completos) group by tipo, anio
+    from base semi join completos using (anio) group by tipo, anio
 ),
 anual as (
-    select tipo, anio, pernoctaciones,
-           100 * pernoctaciones / nullif(max(case when anio = {BASE_YEAR} then pernoctaciones end)
-               over (partition by tipo), 0) as indice
-    from por_anio
+    select s.tipo, s.anio, s.pernoctaciones,
+           case when b.pernoctaciones <> 0 then 100 * s.pernoctaciones / b.pernoctaciones end as indice
+    from sumas s left join sumas b on b.tipo = s.tipo and b.anio = {BASE_YEAR}
 )"""
 
 
@@ -79,14 +78,17 @@ def annual_base_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "group_ratio_profile",
-    f"""{WITH_YEARS}
-    select tipo,
-           sum(pernoctaciones) filter (where mes = 8)
-               / nullif(sum(pernoctaciones) filter (where mes = 1), 0) as ratio_meses,
-           sum(pernoctaciones) / nullif(cast(sum(viajeros) as double), 0) as estancia_media,
-           100 * sum(pernoctaciones) filter (where residencia = 'extranjero')
-               / nullif(sum(pernoctaciones), 0) as pct_subconjunto
-    from base where anio in (select anio from completos) group by tipo""",
+    f"""{WITH_YEARS},
+    vivos as (select base.* from base semi join completos using (anio)),
+    todo as (select tipo, sum(pernoctaciones) as p, cast(sum(viajeros) as double) as v
+             from vivos group by tipo),
+    mes as (pivot (select tipo, mes, pernoctaciones from vivos where mes in (1, 8))
+            on mes in (1, 8) using sum(pernoctaciones) group by tipo),
+    fuera as (select tipo, sum(pernoctaciones) as x from vivos where residencia <> 'espana' group by tipo)
+    select tipo, case when "1" <> 0 then "8" / "1" end as ratio_meses,
+           case when v <> 0 then p / v end as estancia_media,
+           case when p <> 0 then 100 * x / p end as pct_subconjunto
+    from todo left join mes using (tipo) left join fuera using (tipo)""",
 )
 def group_ratio_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = shared(demand(spark, sf_dir, by=["residencia"]))
@@ -99,20 +101,24 @@ def group_ratio_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "gap_preserving_series",
     f"""with {DEMAND_SQL},
-    por_mes as (
+    con_dato as (
         select tipo || '/' || nacion as tipo, fecha, sum(pernoctaciones) as pernoctaciones,
-               bool_or(es_provisional) as es_provisional
+               count(*) filter (where es_provisional) > 0 as es_provisional
         from base group by 1, 2
     ),
-    calendario as (
-        select unnest(generate_series(
-            (select min(cast(date_trunc('month', o_orderdate) as date)) from orders),
-            (select max(fecha) from por_mes), interval 1 month))::date as fecha
+    limites as (
+        select date_trunc('month', min(o_orderdate))::date as lo, (select max(fecha) from base) as hi
+        from orders
+    ),
+    sin_dato as (
+        select tipo, unnest(range(lo, hi + interval 1 day, interval 1 month))::date as fecha
+        from (select distinct tipo from con_dato), limites
+        except
+        select tipo, fecha from con_dato
     )
-    select g.tipo, strftime(c.fecha, '%Y-%m') as mes, p.pernoctaciones,
-           coalesce(p.es_provisional, false) as es_provisional
-    from calendario c cross join (select distinct tipo from por_mes) g
-    left join por_mes p on p.tipo = g.tipo and p.fecha = c.fecha""",
+    select tipo, strftime(fecha, '%Y-%m') as mes, pernoctaciones, es_provisional from con_dato
+    union all
+    select tipo, strftime(fecha, '%Y-%m'), null, false from sin_dato""",
 )
 def gap_preserving_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = demand(spark, sf_dir, by=["nacion", "es_provisional"])
@@ -177,12 +183,34 @@ def peak_trough(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "seasonality_rank",
     f"""{WITH_YEARS}, {PROFILE_SQL}, {PEAK_SQL}
-    select * from picos order by peak_value desc, tipo""",
+    select a.*, (select count(*) + 1 from picos b where b.peak_value > a.peak_value
+                 or (b.peak_value = a.peak_value and b.tipo < a.tipo))::integer as puesto
+    from picos a""",
 )
 def seasonality_rank(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ind.seasonality_order(_profile(spark, sf_dir), "tipo", "mes", "pct")
 
 
+@query(
+    "month_against_month",
+    f"""{WITH_YEARS}, {PROFILE_SQL}
+    select a.tipo, a.pct as pct_a, b.pct as pct_b, a.pct - b.pct as diferencia, a.pct > b.pct as supera
+    from perfil a join perfil b on b.tipo = a.tipo and b.mes = 6 where a.mes = 1""",
+)
+def month_against_month(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ind.month_against_month(_profile(spark, sf_dir), "tipo", "mes", "pct", 1, 6)
+
+
+@query(
+    "change_against_base",
+    f"""{WITH_YEARS}, {ANNUAL_SQL}
+    select tipo, anio, pernoctaciones, indice, indice - 100 as frente_a_base
+    from anual join (select max(anio) as anio from anual) using (anio)""",
+)
+def change_against_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ind.change_against_base(_annual(spark, sf_dir), "anio")
+
+
 @query(
     "seasonality_extremes",
     f"""{WITH_YEARS}, {PROFILE_SQL}, {PEAK_SQL}
@@ -256,17 +284,17 @@ def year_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    "group_totals_top",
+    "group_totals",
     f"""with {DEMAND_SQL}
     select nacion, anio, sum(pernoctaciones) as noches, cast(sum(viajeros) as bigint) as personas
-    from base group by all order by noches desc, nacion, anio limit 10""",
+    from base group by all""",
 )
-def group_totals_top(spark: SparkSession, sf_dir: str) -> DataFrame:
+def group_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
     cube = demand(spark, sf_dir, by=["nacion"])
     totals = ind.group_totals(
         cube, ["nacion", "anio"], {"noches": "pernoctaciones", "personas": "viajeros"}
     )
-    return totals.orderBy(F.desc("noches"), "nacion", "anio").limit(10)
+    return totals.orderBy(F.desc("noches"), "nacion", "anio")
 
 
 @query(

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import cents, month_of, month_text
-from statloom.operators.classify import OUTCOME, classified
+from statloom.operators.classify import DISCARDED, OUTCOME
 from statloom.plans import catalogue as cat
 from statloom.plans import fixed_values as fx
 from statloom.sources.html import html_tables, typed
@@ -261,5 +261,7 @@ def catalog_classify(spark: SparkSession, sf_dir: str) -> DataFrame:
         order by orden, p_partkey) = 1""",
 )
 def series_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Classified series, the first of each combination; what nobody can classify stays out."""
-    return cat.catalogue_rows(classified(cat.classify_series(_metadata(spark, sf_dir))))
+    """Catalogue of the series whose values are known; with the others the build would stop."""
+    metadata = _metadata(spark, sf_dir)
+    odd = cat.classify_series(metadata).filter(F.col(OUTCOME) != DISCARDED).select("COD")
+    return cat.series_catalogue(metadata.join(odd, "COD", "left_anti"))

@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from statloom.operators import fingerprint as fp
 from statloom.operators import quality as q
+from statloom.sources.schemas import L, S
+from statloom.sources.schemas import table as contract
+from statloom.sources.store import register
 from statloom.workload import query
 from statloom.workload.tables import TABLES, table
 
@@ -170,17 +173,17 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return q.rules_report(orders, rules).unionByName(q.quality_report(keys))
 
 
-# Numeric columns per table, written out for the SQL side only.
+# Numeric columns per table, written out for the SQL side only; fractions are marked.
 NUMERIC = {
     "region": "r_regionkey",
     "nation": "n_nationkey n_regionkey",
-    "customer": "c_custkey c_nationkey c_acctbal",
-    "supplier": "s_suppkey s_nationkey s_acctbal",
-    "part": "p_partkey p_size p_retailprice",
-    "orders": "o_orderkey o_custkey o_totalprice",
-    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice "
-    "l_discount l_tax",
-    "events": "event_id user_id value",
+    "customer": "c_custkey c_nationkey c_acctbal*",
+    "supplier": "s_suppkey s_nationkey s_acctbal*",
+    "part": "p_partkey p_size p_retailprice*",
+    "orders": "o_orderkey o_custkey o_totalprice*",
+    "lineitem": "l_orderkey l_partkey l_suppkey l_linenumber l_quantity* l_extendedprice* "
+    "l_discount* l_tax*",
+    "events": "event_id user_id value*",
     "documents": "doc_id n_chars",
     "embeddings": "vec_id label",
     "pages": "page_id",
@@ -193,7 +196,12 @@ NUMERIC = {
 def _fingerprint_sql(name: str, where: str = "") -> str:
     cells = [("filas", "count(*)")]
     for c in NUMERIC[name].split():
-        cells.append((f"suma_{c}", f"round(sum(cast({c} as decimal(28,6))), 4)"))
+        n = c.rstrip("*")
+        if n == c:
+            cells.append((f"suma_{n}", f"round(sum({n}), 4)"))
+        else:
+            cells.append((f"suma_{n}", f"round(fsum({n}), 4)"))
+            cells.append((f"no_finitos_{n}", f"count(*) filter (where not isfinite({n}))"))
     values = ", ".join(f"cast({sql} as double)" for _, sql in cells)
     names = ", ".join(f"'{n}'" for n, _ in cells)
     return (
@@ -239,3 +247,28 @@ def _contract_sql(name: str) -> str:
 @query("contract_document", " union all ".join(_contract_sql(t) for t in TABLES))
 def contract_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp.contract_rows({t: table(spark, sf_dir, t) for t in TABLES})
+
+
+@query("enforce_contract", "select n_regionkey as region, n_nationkey as clave, n_name as nombre from nation")
+def enforce_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table brought to its declared columns and order; any other column would stop it."""
+    declared = contract((L, "region", "clave"), (S, "nombre"), required=("clave",))
+    nations = table(spark, sf_dir, "nation").select(
+        F.col("n_name").alias("nombre"), F.col("n_nationkey").cast("bigint").alias("clave"),
+        F.col("n_regionkey").cast("bigint").alias("region"),
+    )
+    return q.enforce(nations, declared)
+
+
+@query(
+    "registered_view",
+    """select c_nationkey, count(*) as clientes, sum(cast(round(c_acctbal * 100) as bigint))::bigint as saldo
+    from customer group by c_nationkey""",
+)
+def registered_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parquet files registered under a name and read with SQL."""
+    register(spark, f"{sf_dir}/customer.parquet", "clientes_registrados")
+    return spark.sql(
+        """SELECT c_nationkey, count(*) AS clientes, sum(CAST(round(c_acctbal * 100) AS BIGINT)) AS saldo
+        FROM clientes_registrados GROUP BY c_nationkey"""
+    )

@@ -329,20 +329,19 @@ def first_occurrence(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "consecutive_runs",
     """with d as (
-        select distinct user_id, cast(date_diff('day', date '1970-01-01', cast(ts as date)) as bigint) as p
-        from events where event_type = 'error'
+        select distinct user_id, event_type,
+               cast(date_diff('day', date '1970-01-01', cast(ts as date)) as bigint) as p
+        from events
     ),
-    i as (select *, p - row_number() over (partition by user_id order by p) as g from d)
-    select user_id, min(p) as start, max(p) as "end", max(p) - min(p) + 1 as length
-    from i group by user_id, g""",
+    i as (select *, p - row_number() over (partition by user_id, event_type order by p) as g from d)
+    select user_id, event_type, min(p) as start, max(p) as "end", max(p) - min(p) + 1 as length
+    from i group by user_id, event_type, g""",
 )
 def consecutive_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    errors = (
-        table(spark, sf_dir, "events")
-        .filter(F.col("event_type") == "error")
-        .select("user_id", F.unix_date(F.col("ts").cast("date")).alias("dia"))
+    days = table(spark, sf_dir, "events").select(
+        "user_id", "event_type", F.unix_date(F.col("ts").cast("date")).alias("dia")
     )
-    return per.consecutive_runs(errors, ["user_id"], "dia")
+    return per.consecutive_runs(days, ["user_id", "event_type"], "dia")
 
 
 @query(
@@ -408,13 +407,13 @@ def period_text(spark: SparkSession, sf_dir: str) -> DataFrame:
                count(distinct l.l_suppkey) as personal
         from lineitem l join supplier s on s.s_suppkey = l.l_suppkey
         join nation n on n.n_nationkey = s.s_nationkey
-        where n.n_regionkey = 3 group by all
+        group by all
     )
     select grupo, strftime(fecha, '%Y-%m') as mes_texto, cast(year(fecha) as smallint) as anio,
            cast(month(fecha) as smallint) as mes, personal from f""",
 )
 def personnel_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Active suppliers per nation and month of one region.
+    """Active suppliers per nation and month.
 
     Pairs of supplier and month are made distinct before the dimension join, so the join and
     the second count see one row per supplier and month.
@@ -428,14 +427,13 @@ def personnel_series(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey")
     )
     fact = shared(
-        active.join(places.select("s_suppkey", "n_name", "n_regionkey"), "s_suppkey")
-        .groupBy(F.col("n_name").alias("grupo"), "n_regionkey", "fecha")
+        active.join(places.select("s_suppkey", "n_name"), "s_suppkey")
+        .groupBy(F.col("n_name").alias("grupo"), "fecha")
         .agg(F.count(F.lit(1)).alias("personal"))
     )
     calendar = per.month_dimension([(fact, "fecha")], MONTH_NAMES)
     fact = fact.withColumn("fecha_id", col.month_key("fecha")).drop("fecha")
-    here = F.col("n_regionkey") == 3
-    return ind.measure_series(fact, calendar, "grupo", ["personal"], here, ["anio", "mes"])
+    return ind.measure_series(fact, calendar, "grupo", ["personal"], parts=["anio", "mes"])
 
 
 @query(

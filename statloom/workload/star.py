@@ -19,7 +19,7 @@ from statloom.plans import checks, gold, indicators, silver
 from statloom.plans import fixed_values as fx
 from statloom.plans.tables import built_in
 from statloom.workload import query
-from statloom.workload.tables import demand, table
+from statloom.workload.tables import complete_years_sql, demand, table
 
 SEGMENTS = {"AUTOMOBILE": "hotel", "BUILDING": "hotel", "FURNITURE": "camping", "HOUSEHOLD": "rural"}
 LABELS = [label for label, _, kind in fx.PUBLISHED_LABELS if kind == "destino"]
@@ -290,6 +290,8 @@ ocupacion as (
     select fecha, upper(zona[1]) || zona[2:] || ' (no desglosado)', zona, false, vr, vn, pr, pn
     from resto
 )"""
+_ZONE_NAMES = {"zona-costa": "costa", "zona-ciudad": "ciudad"}
+_TOWNS = ", ".join(f"('{t[0]}', '{_ZONE_NAMES.get(t[3], 'interior')}')" for t in fx.TERRITORIES if t[5])
 _IDS = ", ".join(f"('{t[0]}', '{t[5]}', '{t[3]}')" for t in fx.TERRITORIES if t[5])
 DEMAND_FACT_SQL = f"""
 territorios(territorio_id, etiqueta, padre_id) as (values {_IDS}),
@@ -313,31 +315,33 @@ con_fecha as (
     from demanda
 )"""
 WITH_STAR = f"with {OFFICE_SQL}, {PORTAL_SQL}, {DEMAND_FACT_SQL}"
-BASES_SQL = """
+BASES_SQL = f"""
+municipios(territorio_id, zona) as (values {_TOWNS}),
 regional as (
-    select *, tipo_alojamiento_id as grupo from con_fecha
-    where fuente = 'INE' and territorio_id = 'region-murcia'
+    select tipo_alojamiento_id as grupo, con_fecha.* from con_fecha
+    where (territorio_id, fuente) = ('{fx.REGION}', 'INE')
 ),
 por_zona as (
-    select d.*, case t.padre_id when 'zona-costa' then 'costa' when 'zona-ciudad' then 'ciudad'
-                     else 'interior' end as grupo
-    from con_fecha d join territorios t using (territorio_id) where fuente = 'murciaturistica'
+    select zona as grupo, con_fecha.* from municipios join con_fecha using (territorio_id)
+    where fuente <> 'INE'
 )"""
-
-
-def _complete_sql(base: str, out: str) -> str:
-    return f"""{out} as (
-        select anio from (select anio, grupo, count(distinct mes) as m from {base}
-                          where pernoctaciones is not null group by all)
-        group by anio
-        having min(m) = 12 and count(*) = (select count(distinct grupo) from {base})
-    )"""
-
-
 WITH_BASES = (
-    f"{WITH_STAR}, {BASES_SQL}, {_complete_sql('regional', 'anios_ine')}, "
-    f"{_complete_sql('por_zona', 'anios_mt')}"
+    f"{WITH_STAR}, {BASES_SQL}, {complete_years_sql('regional', 'grupo', 'anios_ine')}, "
+    f"{complete_years_sql('por_zona', 'grupo', 'anios_mt')}"
 )
+#: Rows of both bases in their complete years.
+LIVE_SQL = """
+vivos as (
+    select 'tipo' as clase, grupo, mes, pernoctaciones, viajeros, residencia_id
+    from regional semi join anios_ine using (anio)
+    union all
+    select 'zona', grupo, mes, pernoctaciones, viajeros, residencia_id
+    from por_zona semi join anios_mt using (anio)
+),
+totales as (
+    select clase, grupo, sum(pernoctaciones)::double as p, sum(viajeros)::double as v
+    from vivos group by clase, grupo
+)"""
 
 
 @query(
@@ -371,6 +375,30 @@ def star_demand_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.demand(obs, occupancy, built_in(spark)["territorios"])
 
 
+@query(
+    "star_named_demand",
+    f"""{WITH_STAR}
+    select case tipo_alojamiento_id when 'hotel' then 'Hoteles' when 'camping' then 'Campings'
+                when 'rural' then 'Alojamientos de turismo rural' else 'Apartamentos turísticos' end as tipo,
+           case residencia_id when 'espana' then 'Residentes en España'
+                else 'Residentes en el extranjero' end as residencia,
+           cast(sum(pernoctaciones) as bigint) as pernoctaciones, count(*) as filas
+    from demanda group by 1, 2""",
+)
+def star_named_demand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The demand fact with the names of two small dimensions, summed before the join."""
+    t = star(spark, sf_dir, "fct_demanda_mensual", "dim_tipo_alojamiento", "dim_residencia")
+    keys = ["tipo_alojamiento_id", "residencia_id"]
+    sums = t["fct_demanda_mensual"].groupBy(*keys).agg(
+        F.sum("pernoctaciones").alias("pernoctaciones"), F.count(F.lit(1)).alias("filas")
+    )
+    types = t["dim_tipo_alojamiento"].select(keys[0], F.col("nombre").alias("tipo"))
+    homes = t["dim_residencia"].select(keys[1], F.col("nombre").alias("residencia"))
+    return sums.join(types, keys[0]).join(homes, keys[1]).select(
+        "tipo", "residencia", "pernoctaciones", "filas"
+    )
+
+
 _NONE = "cast(null as bigint)"
 _NOPCT = "cast(null as double)"
 
@@ -421,15 +449,9 @@ def star_complete_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "star_seasonal_profiles",
-    f"""{WITH_BASES},
-    p as (
-        select 'tipo' as clase, grupo, mes, sum(pernoctaciones) as p from regional
-        where anio in (from anios_ine) group by all
-        union all
-        select 'zona', grupo, mes, sum(pernoctaciones) from por_zona
-        where anio in (from anios_mt) group by all
-    )
-    select clase, grupo, mes, 100 * p::double / sum(p) over (partition by clase, grupo) as pct from p""",
+    f"""{WITH_BASES}, {LIVE_SQL}
+    select clase, grupo, mes, 100 * sum(pernoctaciones)::double / any_value(p) as pct
+    from vivos join totales using (clase, grupo) group by clase, grupo, mes""",
 )
 def star_seasonal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
@@ -442,14 +464,15 @@ def star_seasonal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "star_zone_profile",
-    f"""{WITH_BASES}
-    select grupo as zona,
-           cast(sum(pernoctaciones) filter (where mes = 8) as double)
-               / nullif(sum(pernoctaciones) filter (where mes = 1), 0) as ratio_agosto_enero,
-           cast(sum(pernoctaciones) as double) / nullif(sum(viajeros), 0) as estancia_media,
-           100 * cast(sum(pernoctaciones) filter (where residencia_id = 'extranjero') as double)
-               / nullif(sum(pernoctaciones), 0) as pct_extranjero
-    from por_zona where anio in (from anios_mt) group by grupo""",
+    f"""{WITH_BASES}, {LIVE_SQL},
+    mes as (pivot (select grupo, mes, pernoctaciones::double as n from vivos where clase = 'zona' and mes in (1, 8))
+            on mes in (1, 8) using sum(n) group by grupo),
+    fuera as (select grupo, sum(pernoctaciones)::double as x from vivos
+              where clase = 'zona' and residencia_id <> 'espana' group by grupo)
+    select grupo as zona, case when "1" <> 0 then "8" / "1" end as ratio_agosto_enero,
+           case when v <> 0 then p / v end as estancia_media,
+           case when p <> 0 then 100 * x / p end as pct_extranjero
+    from (select * from totales where clase = 'zona') left join mes using (grupo) left join fuera using (grupo)""",
 )
 def star_zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
@@ -460,18 +483,24 @@ def star_zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     "star_monthly_series",
     f"""{WITH_BASES},
-    m as (
-        select grupo, fecha, cast(sum(pernoctaciones) as bigint) as p, bool_or(es_provisional) as prov
-        from regional group by all
+    con_dato as (
+        select grupo, fecha, cast(sum(pernoctaciones) as bigint) as p,
+               count(*) filter (where es_provisional) > 0 as prov
+        from regional group by grupo, fecha
+    ),
+    limites as (
+        select least((select min(fecha) from celdas), (select min(fecha) from ocupacion)) as lo,
+               (select max(fecha) from con_dato) as hi
     ),
-    c as (
-        select unnest(generate_series((select min(fecha) from (select fecha from celdas union all
-                                       select fecha from ocupacion)),
-                                      (select max(fecha) from m), interval 1 month))::date as fecha
+    sin_dato as (
+        select grupo, unnest(range(lo, hi + interval 1 day, interval 1 month))::date as fecha
+        from (select distinct grupo from con_dato), limites
+        except
+        select grupo, fecha from con_dato
     )
-    select g.grupo as tipo, strftime(c.fecha, '%Y-%m') as fecha, m.p as pernoctaciones,
-           coalesce(prov, false) as provisional
-    from c cross join (select distinct grupo from m) g left join m on m.grupo = g.grupo and m.fecha = c.fecha""",
+    select grupo as tipo, strftime(fecha, '%Y-%m') as fecha, p as pernoctaciones, prov as provisional from con_dato
+    union all
+    select grupo, strftime(fecha, '%Y-%m'), null, false from sin_dato""",
 )
 def star_monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha")
@@ -500,20 +529,28 @@ def star_price_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _SIDES_SQL = """
-a as (select fecha_id, sum(viajeros) v, sum(pernoctaciones) p from regional
-      where grupo = 'hotel' group by all),
-b as (select fecha_id, sum(viajeros) v, sum(pernoctaciones) p from por_zona group by all)"""
+juntos as (
+    select fecha_id, viajeros as va, pernoctaciones as pa, null::bigint as vb, null::bigint as pb
+    from regional where grupo = 'hotel'
+    union all
+    select fecha_id, null, null, viajeros, pernoctaciones from por_zona
+),
+lados as (
+    select fecha_id, sum(pa) as pa, abs(sum(pa) - sum(pb)) as dp, sum(va) as va, abs(sum(va) - sum(vb)) as dv
+    from juntos group by fecha_id
+    having count(*) filter (where pb is null and vb is null) < count(*) and count(pa) + count(va) > 0
+)"""
 
 
 @query(
     "star_reconciliation",
     f"""{WITH_BASES}, {_SIDES_SQL}
-    select count(*) as meses, cast(max(abs(a.p - b.p)) as bigint) as dif_max_pernoctaciones,
-           count(*) filter (where abs(a.p - b.p) <= greatest(10, 0.0005::double * a.p))
+    select count(*) as meses, cast(max(dp) as bigint) as dif_max_pernoctaciones,
+           sum(case when dp <= 10 or dp <= 0.0005::double * pa then 1 else 0 end)::bigint
                as meses_pernoctaciones_cuadran,
-           count(*) filter (where abs(a.v - b.v) <= greatest(10, 0.0005::double * a.v))
+           sum(case when dv <= 10 or dv <= 0.0005::double * va then 1 else 0 end)::bigint
                as meses_viajeros_cuadran
-    from a join b using (fecha_id)""",
+    from lados""",
 )
 def star_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
@@ -522,12 +559,12 @@ def star_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     "star_coverage",
-    f"""{WITH_STAR}
-    select strftime(min(fecha), '%Y-%m') as primer_mes,
-           strftime(max(fecha) filter (where fuente = 'INE'), '%Y-%m') as ultimo_mes_ine,
-           strftime(max(fecha) filter (where fuente = 'murciaturistica'), '%Y-%m') as ultimo_mes_mt,
-           strftime(min(fecha) filter (where es_provisional), '%Y-%m') as provisional_desde
-    from con_fecha""",
+    f"""{WITH_STAR},
+    mes as (select distinct fuente, es_provisional, strftime(fecha, '%Y-%m') as m from con_fecha)
+    select (select m from mes order by m limit 1) as primer_mes,
+           (select m from mes where fuente = 'INE' order by m desc limit 1) as ultimo_mes_ine,
+           (select m from mes where fuente <> 'INE' order by m desc limit 1) as ultimo_mes_mt,
+           (select m from mes where es_provisional order by m limit 1) as provisional_desde""",
 )
 def star_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
     return indicators.coverage(star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha"))

@@ -61,7 +61,7 @@ def read(spark, tmp_path):
 
 
 def test_catalogue(read):
-    df = cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY, 12156: PRICES}))
+    df = cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY, 12156: PRICES}), (2074, 2066, 12156))
     assert df.columns == SERIES_CATALOGUE.names
     got = [(r.codigo, r.hecho, r.territorio, r.nivel_territorio, r.medida, r.residencia, r.unidad) for r in df.collect()]
     assert got == [
@@ -77,7 +77,7 @@ def test_catalogue(read):
 
 def test_first_table_wins_over_position(read):
     later = series("Z1", **REGION, concepto="Viajero", residencia="Residentes en España")
-    df = cat.series_catalogue(read({2039: [later], 2074: [DEMAND[4], DEMAND[3], DEMAND[0]]}))
+    df = cat.series_catalogue(read({2039: [later], 2074: [DEMAND[4], DEMAND[3], DEMAND[0]]}), (2039, 2074))
     assert [r.codigo for r in df.collect()] == ["A4"]
 
 
@@ -88,21 +88,33 @@ def test_first_table_wins_over_position(read):
         (2074, series("N2", **REGION, concepto="Viajero", residencia="Marte"), "residence in N2: Marte"),
         (12156, series("N3", **REGION, dato="Otro"), "data type in N3: Otro"),
         (12156, series("N4", **REGION), r"data type in N4: \(none\)"),
-        (2074, series("N5", **REGION, zona="Murcia (Región De): Costa Cálida", concepto="Viajero"), "territory in N5"),
     ],
 )
 def test_an_unknown_value_stops_the_build(read, number, bad, message):
     with pytest.raises(UnknownValue, match=message):
-        cat.series_catalogue(read({number: [bad, *DEMAND[:1]] if number == 2074 else [bad]}))
+        cat.series_catalogue(read({number: [bad, *DEMAND[:1]] if number == 2074 else [bad]}), [number])
 
 
 def test_unknown_values_of_discarded_series_do_not_matter(read):
     fine = series("D1", region="Andalucía", concepto="Algo nuevo", residencia="Marte")
-    assert cat.series_catalogue(read({2074: [fine]})).count() == 0
+    assert cat.series_catalogue(read({2074: [fine]}), [2074]).count() == 0
 
 
 def test_catalogue_file_reads_back(spark, read, tmp_path):
-    df = cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY}))
+    df = cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY}), (2074, 2066))
     cat.write_catalogue(df, str(tmp_path / "csv"))
     again = read_reference(spark, str(tmp_path / "csv"), SERIES_CATALOGUE, blanks=True)
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, df.collect()))
+
+
+def test_a_missing_source_table_stops_the_build(read):
+    with pytest.raises(cat.MissingTable, match="2066"):
+        cat.series_catalogue(read({2074: DEMAND}), (2074, 2066))
+    with pytest.raises(cat.MissingTable):
+        cat.series_catalogue(read({2074: DEMAND, 2066: SUPPLY}))
+
+
+def test_the_first_of_several_territories_counts(read):
+    both = series("N5", **REGION, zona="Murcia (Región De): Costa Cálida", concepto="Viajero", residencia="Residentes en España")
+    first = next(t for _, _, t, _ in cat.fx.METADATA_TERRITORIES if t in ("region-murcia", "costa-calida"))
+    assert [r.territorio for r in cat.series_catalogue(read({2074: [both]}), [2074]).collect()] == [first]

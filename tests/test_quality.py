@@ -77,11 +77,32 @@ def test_declared_checks_add_up():
 def test_fingerprint_does_not_depend_on_partitions(spark):
     df = spark.range(1000).select((F.col("id") / 7).alias("x"), F.col("id").cast("smallint").alias("n"), F.lit("t").alias("s"))
     a, b = fp.fingerprint(df.repartition(7)), fp.fingerprint(df.coalesce(1))
-    assert a.columns == ["filas", "suma_x", "suma_n"]
+    assert a.columns == ["filas", "suma_x", "no_finitos_x", "suma_n"]
     assert a.first() == b.first()
     assert fp.parity({"t": df.repartition(3)}, {"t": df}).count() == 0
 
 
+@pytest.mark.parametrize(
+    ("values", "total", "odd"),
+    [
+        ([4e-7] * 1000, 0.0004, 0),
+        ([-0.25, -1.5, 3.75], 2.0, 0),
+        ([float("nan"), float("inf"), 1.5, None], 1.5, 2),
+        ([1e17, 2.5, -1e17, 0.25], 2.75, 0),
+        ([None], None, 0),
+    ],
+)
+def test_fingerprint_of_fractions(spark, values, total, odd):
+    row = fp.fingerprint(spark.createDataFrame([(v,) for v in values], "x double")).first()
+    assert (row["suma_x"], row["no_finitos_x"]) == (total, odd)
+
+
+def test_fingerprint_of_large_keys(spark):
+    top = 9223372036854775807
+    row = fp.fingerprint(spark.createDataFrame([(top,), (top,), (-5,), (None,)], "k long")).first()
+    assert row["suma_k"] == float(2 * top - 5)
+
+
 def test_parity_shows_only_what_differs(spark, rows):
     a = {"t": spark.range(3), "u": spark.range(2)}
     b = {"t": spark.range(4), "u": spark.range(2), "w": spark.range(1)}

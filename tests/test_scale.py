@@ -10,11 +10,12 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
+from statloom import workload
 from statloom.operators import periods as per
 from statloom.operators import quality as q
 from statloom.operators import reshape as res
 from statloom.operators import residual as rsd
-from statloom.operators.staging import checkpoint_dir, shared
+from statloom.operators.staging import shared
 from statloom.plans.tables import built_in
 from statloom.session import cluster_settings
 from statloom.workload.tables import DEMAND_SQL, demand
@@ -77,7 +78,7 @@ def plan(df, run: bool = True) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(workload.QUERIES))
 def test_no_products_and_no_row_at_a_time_python(spark, small_dir, monkeypatch, name):
     """Intermediates stay in the plan here, so all of it is looked at."""
     for module in ("demand", "rows", "balance", "star"):
@@ -230,11 +231,9 @@ def test_a_whole_run_over_many_blocks_is_one_run(spark):
     assert [tuple(r) for r in per.consecutive_runs(df, ["k"], "p", 100).collect()] == [("a", 0, 9999, 10_000)]
 
 
-def test_shared_intermediates_go_to_the_checkpoint_folder(spark):
-    folder = checkpoint_dir(spark)
-    assert folder == spark.sparkContext.getCheckpointDir() or spark.sparkContext.getCheckpointDir().startswith(
-        "file:" + folder
-    )
+def test_shared_intermediates_run_once_and_only_when_needed(spark):
     df = shared(spark.range(10).withColumn("x", F.col("id") * 2))
-    assert "Range" not in plan(df)
+    assert df.storageLevel.useDisk and df.storageLevel.useMemory
+    assert "InMemoryTableScan" in plan(df.select("x"))
     assert df.count() == 10
+    df.unpersist()
