@@ -40,18 +40,17 @@ def complete_years(
 ) -> DataFrame:
     """Years in which every group of ``df`` has all its periods published.
 
-    One small aggregate per (group, year, period) feeds both the month count and the number
-    of groups, so the base relation is shuffled once.
+    One row per group and year holds its periods as a set of bits. ``df`` is read twice, for these
+    rows and for the number of groups: give it a kept relation (:func:`staging.shared`).
     """
-    cells = df.groupBy(group, year, month).agg(F.count(value).alias("_values"))
-    groups = cells.agg(F.count_distinct(group)).scalar()
-    per_group = (
-        cells.filter("_values > 0").groupBy(group, year).agg(F.count(month).alias("_months"))
-    )
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col(month).cast("int") - 1)
+    cells = df.groupBy(group, year).agg(F.bit_or(F.when(F.col(value).isNotNull(), bit)).alias("_set"))
+    groups = df.agg(F.count_distinct(group)).scalar()
+    whole = F.bit_count(F.coalesce("_set", F.lit(0).cast("bigint"))) == periods
     return (
-        per_group.groupBy(year)
-        .agg(F.min("_months").alias("_least"), F.count(F.lit(1)).alias("_groups"))
-        .filter((F.col("_least") == periods) & (F.col("_groups") == groups))
+        cells.groupBy(year)
+        .agg(F.count_if(whole).alias("_groups"))
+        .filter(F.col("_groups") == groups)
         .select(year)
     )
 
@@ -99,7 +98,7 @@ def gap_series(
     is formed.
     """
     totals = df.groupBy(group, period).agg(
-        F.sum(value).alias(value), F.bool_or(flag).alias(flag), F.count(F.lit(1)).alias("_rows")
+        F.sum(value).alias(value), F.bool_or(flag).alias(flag)
     )
     low = calendar.agg(F.min(period)).scalar()
     high = totals.agg(F.max(period)).scalar()
@@ -107,7 +106,7 @@ def gap_series(
         group,
         F.explode(F.sequence(low, high, F.expr("INTERVAL 1 MONTH"))).alias(period),
     )
-    return spine.join(totals.drop("_rows"), [group, period], "left").select(
+    return spine.join(totals, [group, period], "left").select(
         group, period, value, F.coalesce(F.col(flag), F.lit(False)).alias(flag)
     )
 

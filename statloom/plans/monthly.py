@@ -16,6 +16,7 @@ from statloom.operators.periods import published_periods
 from statloom.plans import bronze, checks, gold, indicators, release, silver
 from statloom.plans.tables import from_csv
 from statloom.sources.schemas import GOLD
+from statloom.session import cluster_settings
 from statloom.sources import files
 from statloom.sources.store import read_table, replace_table, show_version, write_version
 
@@ -200,8 +201,13 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--indicators", help="folder of the indicator files")
     parser.add_argument("--today", help="ISO date used by the freshness check")
     parser.add_argument("--partial", action="store_true", help="not every series is loaded")
+    parser.add_argument("--input-bytes", type=int, help="size of the raw data, to size shuffles and scans")
+    parser.add_argument("--cores", type=int, help="executor cores of the run")
     args = parser.parse_args(argv)
-    spark = SparkSession.builder.appName("monthly statistics").getOrCreate()
+    builder = SparkSession.builder.appName("monthly statistics").config("spark.sql.session.timeZone", "UTC")
+    if args.input_bytes and args.cores:
+        builder = builder.config(map=cluster_settings(args.input_bytes, args.cores))
+    spark = builder.getOrCreate()
     paths = {"series_ine": args.series, "excepciones_cuadre": args.exceptions}
     reference = from_csv(spark, {n: p for n, p in paths.items() if p})
     out = run(

@@ -41,20 +41,27 @@ def order_volumes(spark: SparkSession, sf_dir: str) -> DataFrame:
 def demand(spark: SparkSession, sf_dir: str, by: Sequence[str] = ()) -> DataFrame:
     """Monthly demand: people (orders) and nights (quantity) per month, segment and ``by``.
 
-    ``by`` may add ``nacion``, ``residencia`` and ``es_provisional`` to the grain.
+    ``by`` may add ``nacion``, ``residencia`` and ``es_provisional`` to the grain. Orders are summed
+    per customer and month before the customers are joined, so a customer with very many orders
+    reaches that join as a few rows.
     """
+    keys = ["o_custkey", "fecha", *(c for c in by if c != "nacion")]
+    volumes = (
+        order_volumes(spark, sf_dir)
+        .groupBy(*keys)
+        .agg(F.sum("pernoctaciones").alias("pernoctaciones"), F.count(F.lit(1)).alias("viajeros"))
+    )
     customers = table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("o_custkey"),
         F.col("c_mktsegment").alias("tipo"),
         F.col("c_nationkey").alias("nacion"),
     )
     cells = (
-        order_volumes(spark, sf_dir)
-        .join(customers, "o_custkey")
+        volumes.join(customers, "o_custkey")
         .groupBy("tipo", "fecha", *by)
         .agg(
             F.sum("pernoctaciones").alias("pernoctaciones"),
-            F.count(F.lit(1)).alias("viajeros"),
+            F.sum("viajeros").alias("viajeros"),
         )
     )
     return cells.select(
