@@ -52,7 +52,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op7_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = minhash.near_duplicates(_documents(spark, sf_dir), width=2)
-    return found.select("doc_id", "n_shingles", "component_id", (F.col("doc_id") == F.col("component_id")).alias("kept"))
+    return found.select("doc_id", "n_shingles", "component_id", F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"))
 
 
 @_query
