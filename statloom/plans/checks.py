@@ -22,6 +22,7 @@ PEOPLE = ("viajeros", "pernoctaciones")
 TYPES = tuple(t[0] for t in fx.ACCOMMODATION_TYPES)
 ZONE_NAMES = ("ciudad", "costa", "interior")
 
+#: Fixed values down to RELATIONSHIPS: the declared checks.
 #: Columns that must have a value.
 NOT_NULL = {
     "ine_series": ("codigo", "anio", "periodo"),

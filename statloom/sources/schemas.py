@@ -17,6 +17,7 @@ def table(*fields: tuple, required: tuple[str, ...] = ()) -> T.StructType:
 
 # --- raw documents --------------------------------------------------------------------
 
+#: Names and types of the published documents, tables and contracts.
 SERIES_DOCUMENT = table(
     (S, "COD", "Nombre"),
     (
@@ -85,6 +86,7 @@ EXCEPTIONS = table((I, "fecha_id"), (S, "medida", "motivo"))
 
 # --- gold contracts -------------------------------------------------------------------
 
+#: Measures of the supply fact.
 COUNTS = (
     "establecimientos",
     "plazas",
@@ -104,6 +106,7 @@ PERCENTAGES = (
     "ocupacion_parcelas_fin_semana",
 )
 
+#: The contracts of the star schema.
 GOLD = {
     "dim_fecha": table(
         (I, "fecha_id"),

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators import fingerprint as fp
 from statloom.operators import quality as q
-from statloom.sources.schemas import L, S
+from statloom.sources.schemas import I, S
 from statloom.sources.schemas import table as contract
 from statloom.sources.store import register
 from statloom.workload import query
@@ -252,10 +252,9 @@ def contract_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("enforce_contract", "select n_regionkey as region, n_nationkey as clave, n_name as nombre from nation")
 def enforce_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A table brought to its declared columns and order; any other column would stop it."""
-    declared = contract((L, "region", "clave"), (S, "nombre"), required=("clave",))
+    declared = contract((I, "region", "clave"), (S, "nombre"), required=("clave",))
     nations = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("nombre"), F.col("n_nationkey").cast("bigint").alias("clave"),
-        F.col("n_regionkey").cast("bigint").alias("region"),
+        F.col("n_name").alias("nombre"), F.col("n_nationkey").alias("clave"), F.col("n_regionkey").alias("region"),
     )
     return q.enforce(nations, declared)
 
