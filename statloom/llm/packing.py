@@ -8,6 +8,8 @@ them anew and pack again; a round counts only if it needs fewer bins.
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
@@ -25,7 +27,9 @@ END_ID = 1
 PART_PIECES = 50_000
 ROUNDS = 3
 #: Words whose ids a Python worker remembers before it starts again.
-KNOWN_WORDS = 200_000
+KNOWN_WORDS = 500_000
+#: New words that are encoded as one text; where one word ends is seen from the tokens.
+JOINED_WORDS = 2000
 
 
 class _Words(dict):
@@ -41,6 +45,27 @@ class _Words(dict):
         return number
 
 
+#: Letters, then ASCII marks but for the apostrophe: the tokenizer cuts such a word in two at most.
+_PLAIN = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
+
+
+def _pieces(word: str) -> int:
+    """Into how many parts, each ending a word, the tokenizer cuts a plain word; 0 for other words."""
+    found = _PLAIN.fullmatch(word)
+    if not found:
+        return 0
+    letters, marks = found.groups()
+    if letters and not (letters.lower().isalpha() and unicodedata.is_normalized("NFC", letters)):
+        return 0
+    return bool(letters) + bool(marks)
+
+
+def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Positions of the spans ``[start, start + size)`` one after the other."""
+    stop = np.cumsum(size)
+    return np.arange(stop[-1] if len(stop) else 0) + np.repeat(start - stop + size, size)
+
+
 class Encoder:
     """Token ids of texts. The tokenizer drops white space and looks at nothing across it, so a text's
     ids are those of its words one after the other; ids of words met before are looked up."""
@@ -49,17 +74,41 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        vocabulary = self.tokenizer.get_vocab()
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.ends_word[[v for k, v in vocabulary.items() if k.endswith("</w>")]] = True
         self._forget()
 
     def _forget(self) -> None:
         self.words, self.ids, self.ends = _Words(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
     def _learn(self) -> None:
-        new = self.tokenizer.encode_batch_fast(self.words.new, add_special_tokens=False)
-        ids = [np.array(e.ids, np.uint32) for e in new]
+        new = self.words.new
+        parts = np.array([_pieces(w) for w in new], np.int64)
+        length, found = np.zeros(len(new), np.int64), []
+        easy, hard = np.flatnonzero(parts), [np.flatnonzero(parts == 0)]
+        for first in range(0, len(easy), JOINED_WORDS):
+            some = easy[first : first + JOINED_WORDS]
+            text = " ".join([new[k] for k in some.tolist()])
+            ids = np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.ends_word[ids]) + 1
+            last = np.cumsum(parts[some])
+            if len(ends) != last[-1]:
+                hard.append(some)
+                continue
+            length[some] = np.diff(ends[last - 1], prepend=0)
+            found.append((some, ids))
+        rest = np.concatenate(hard)
+        single = [e.ids for e in self.tokenizer.encode_batch_fast([new[k] for k in rest.tolist()], add_special_tokens=False)]
+        length[rest] = [len(i) for i in single]
+        found.append((rest, np.array([x for i in single for x in i], np.uint32)))
+        stop = np.cumsum(length)
+        flat = np.empty(stop[-1] if len(stop) else 0, np.uint32)
+        for which, ids in found:
+            flat[_ragged(stop[which] - length[which], length[which])] = ids
         last = self.ends[-1] if len(self.ends) else 0
-        self.ends = np.concatenate([self.ends, last + np.cumsum([len(i) for i in ids])])
-        self.ids = np.concatenate([self.ids, *ids])
+        self.ends = np.concatenate([self.ends, last + stop])
+        self.ids = np.concatenate([self.ids, flat])
         self.words.new = []
 
     def encode(self, texts: list[str]) -> list[np.ndarray]:
@@ -74,10 +123,7 @@ class Encoder:
         sizes = np.diff(ends, prepend=0)
         out = []
         for n in numbers:
-            size = sizes[n]
-            stop = np.cumsum(size)
-            at = np.arange(stop[-1]) + np.repeat(ends[n] - stop, size)
-            out.append(self.ids[at])
+            out.append(self.ids[_ragged(ends[n] - sizes[n], sizes[n])])
         return out
 
 
