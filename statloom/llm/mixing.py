@@ -8,7 +8,7 @@ round a second time.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from statloom.llm.staging import stage
