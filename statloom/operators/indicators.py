@@ -149,7 +149,7 @@ def seasonality_order(profile: DataFrame, group: str, month: str, value: str) ->
     """
     peaks = peak_and_trough(profile, group, month, value)
     place = F.row_number().over(Window.orderBy(F.col("peak_value").desc(), F.col(group)))
-    return peaks.withColumn("puesto", place)
+    return peaks.withColumn("puesto", place).orderBy("puesto")
 
 
 def month_against_month(

@@ -164,3 +164,16 @@ def test_export_and_checksums(spark, tmp_path):
         assert hashlib.sha256((folder / name).read_bytes()).hexdigest() == sha
     assert store.register(spark, str(folder / "b.parquet"), "vista_b").count() == 5
     assert spark.table("vista_b").count() == 5
+
+
+def test_a_charset_after_a_long_head_is_found():
+    head = b"<html><head><style>" + b"x" * 5000 + b"</style><meta charset='iso-8859-15'></head>"
+    assert table_rows(head + b"<table><tr><td>a\xa4</td></tr></table>") == [["a\u20ac"]]
+
+
+def test_spans_are_neither_clipped_nor_unbounded():
+    page = "<table><tr><td colspan=1500>a</td></tr></table>"
+    assert len(table_rows(page)[0]) == 1500
+    with pytest.raises(ValueError, match="more than 9"):
+        table_rows(page, 9)
+    assert table_rows("<table><tr><td colspan='\u00b2'>a</td><td colspan='x'>b</td></tr></table>") == [["a", "b"]]
