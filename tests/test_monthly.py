@@ -182,3 +182,15 @@ def test_command_line(spark, folder, tmp_path):
     )
     assert spark.read.json(str(tmp_path / "out" / "pruebas")).filter("not superada").count() == 0
     assert spark.read.json(str(tmp_path / "out" / "cuadre")).first().meses == 17
+
+
+def test_the_one_document(spark, result, tmp_path):
+    path = str(tmp_path / "indicadores.json")
+    written = monthly.write_document(spark, result, path, "2024-01-31")
+    with open(path, encoding="utf-8") as file:
+        read = json.load(file)
+    assert read == json.loads(json.dumps(written))
+    assert read["generado"] == "2024-01-31"
+    assert set(read["meta"]) >= {"primer_mes", "anios_completos_mt", "anios_completos_ine"}
+    assert isinstance(read["cuadre"]["excepciones"], list)
+    assert not set(read) & {"excepciones", "anios_completos_mt", "_pruebas"}
