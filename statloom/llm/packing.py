@@ -30,6 +30,8 @@ ROUNDS = 3
 KNOWN_WORDS = 500_000
 #: New words that are encoded as one text; where one word ends is seen from the tokens.
 JOINED_WORDS = 2000
+#: Token ids after which a task hands on what it has encoded.
+BATCH_IDS = 1 << 20
 
 
 class _Words(dict):
@@ -136,36 +138,47 @@ def _encoder(path: str) -> Encoder:
 def token_pieces(
     docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text_col: str = "text", capacity: int = CAPACITY, end_id: int = END_ID
 ) -> DataFrame:
-    """Per piece of a document: id, piece, start, length, ids_crc32. NULL counts as empty: one piece that
-    holds the end id alone. Texts are encoded whole; only documents over ``capacity`` ids are cut."""
+    """Per piece of a document: id, doc_row, piece, start, length, ids, ids_crc32. All pieces of one input
+    row, and no others, share ``doc_row``. NULL counts as empty: one piece that holds the end id alone.
+    Texts are encoded whole; only documents over ``capacity`` ids are cut."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column(1).to_pylist()]
-            owner, piece, length, crc = [], [], [], []
+            texts = [t or "" for t in batch.column(2).to_pylist()]
+            owner, piece, length, crc, found, waiting = [], [], [], [], [], 0
             for first in range(0, len(texts), 64):
                 for k, ids in enumerate(encoder.encode(texts[first : first + 64]), first):
                     data = np.append(ids, np.uint32(end_id)).astype("<u4")
+                    found.append(data)
+                    waiting += len(data)
                     for p, start in enumerate(range(0, len(data), capacity)):
                         part = data[start : start + capacity]
                         owner.append(k), piece.append(p), length.append(len(part))
                         crc.append(zlib.crc32(part.tobytes()))
-            pieces = np.array(piece, np.int32)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    batch.column(0).take(pa.array(owner, pa.int64())),
-                    pa.array(pieces),
-                    pa.array(pieces.astype(np.int64) * capacity),
-                    pa.array(length, pa.int64()),
-                    pa.array(crc, pa.int64()),
-                ],
-                names=["id", "piece", "start", "length", "ids_crc32"],
-            )
-
-    slim = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+                if waiting < BATCH_IDS and first + 64 < len(texts):
+                    continue
+                pieces, rows = np.array(piece, np.int32), pa.array(owner, pa.int64())
+                ends = np.cumsum([0, *length]).astype(np.int32)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        batch.column(0).take(rows),
+                        batch.column(1).take(rows),
+                        pa.array(pieces),
+                        pa.array(pieces.astype(np.int64) * capacity),
+                        pa.array(length, pa.int64()),
+                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32))),
+                        pa.array(crc, pa.int64()),
+                    ],
+                    names=["id", "doc_row", "piece", "start", "length", "ids", "ids_crc32"],
+                )
+                owner, piece, length, crc, found, waiting = [], [], [], [], [], 0
+
+    slim = docs.select(
+        F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("doc_row"), F.col(text_col).cast("string").alias("text")
+    )
     kind = dict(slim.dtypes)["id"]
-    return slim.mapInArrow(run, f"id {kind}, piece int, start long, length long, ids_crc32 long")
+    return slim.mapInArrow(run, f"id {kind}, doc_row long, piece int, start long, length long, ids array<int>, ids_crc32 long")
 
 
 def lower_bound(lengths: np.ndarray, capacity: int, steps: int = 24) -> int:
@@ -243,18 +256,21 @@ def pack(
     part_pieces: int = PART_PIECES,
     rounds: int = ROUNDS,
 ) -> DataFrame:
-    """Per piece: id, piece, start, length, ids_crc32, sequence_id, offset.
+    """Per piece: id, doc_row, piece, start, length, ids, ids_crc32, sequence_id, offset.
+
+    A sequence holds at most ``capacity`` tokens, gapless from offset 0: the ids of its pieces, in the
+    order of their offsets. Repeated rows are packed each on its own and differ in ``doc_row``. NULL texts
+    are empty documents of one token; an empty table gives no sequences. Other columns are not read.
 
-    A sequence holds at most ``capacity`` tokens, gapless from offset 0. Repeated rows are packed each on
-    its own. NULL texts are empty documents of one token; an empty table gives no sequences. Other
-    columns are not read.
+    Ids are written once; packing and its further rounds move row numbers and lengths only, and the places
+    are joined to the ids at the end.
     """
     pieces = stage(
         token_pieces(docs, tokenizer, id_col, text_col, capacity, end_id).withColumn("row", F.monotonically_increasing_id())
     )
     parts = max(1, -(-pieces.count() // part_pieces))
-    done, names = [], pieces.columns
-    current = stage(_pack_parts(pieces, parts, 0, capacity))
+    done, names = [], ["row", "length"]
+    current = stage(_pack_parts(pieces.select(*names), parts, 0, capacity))
     for round_no in range(1, rounds + 1):
         loose = current.where((F.col("gap") > 0) & (F.col("fill") < capacity))
         before = loose.agg(F.count("*").alias("n"), F.countDistinct("sequence_id").alias("bins")).first()
@@ -267,4 +283,23 @@ def pack(
         current = again
     for closed in done:
         current = current.union(closed)
-    return current.select(F.col("id").alias(id_col), "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+    places = current.select("row", "sequence_id", "offset")
+    return pieces.join(places, "row").select(
+        F.col("id").alias(id_col), "doc_row", "piece", "start", "length", "ids", "ids_crc32", "sequence_id", "offset"
+    )
+
+
+def digests(packed: DataFrame) -> DataFrame:
+    """Packed pieces with ``ids_crc32`` computed from the ids that they hold, in place of these."""
+    kept = [f for f in packed.schema if f.name not in ("ids", "ids_crc32")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ids = batch.column("ids")
+            flat, ends = ids.values.to_numpy().astype("<u4", copy=False), ids.offsets.to_numpy()
+            crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+            columns = [batch.column(f.name) for f in kept]
+            yield pa.RecordBatch.from_arrays([*columns, pa.array(crc, pa.int64())], names=[*(f.name for f in kept), "ids_crc32"])
+
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
+    return packed.drop("ids_crc32").mapInArrow(run, f"{schema}, ids_crc32 long")

@@ -37,7 +37,8 @@ def word_tokenizer() -> str:
 
 @_query
 def op4_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return packing.pack(_documents(spark, sf_dir), word_tokenizer())
+    packed = packing.digests(packing.pack(_documents(spark, sf_dir), word_tokenizer()))
+    return packed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
 @_query

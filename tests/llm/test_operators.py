@@ -260,6 +260,33 @@ def test_repeated_rows_are_packed_each(repeated):
     assert len(out) == 6 and len({(r["sequence_id"], r["offset"]) for r in out}) == 6
 
 
+def test_packed_pieces_hold_their_ids(docs):
+    import zlib
+
+    import numpy as np
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(TOKENIZER)
+    packed = packing.pack(docs, TOKENIZER, capacity=128, part_pieces=7)
+    out, want, found = packed.collect(), {}, {}
+    for r in out:
+        assert len(r["ids"]) == r["length"]
+        found.setdefault((r["doc_id"], r["doc_row"]), []).append((r["start"], r["ids"]))
+    for i, text, _ in corpus():
+        want[i] = [*tokenizer.encode(text or "", add_special_tokens=False).ids, 1]
+    assert {i: [x for _, ids in sorted(v) for x in ids] for (i, _), v in found.items()} == want
+    crc = {(r["sequence_id"], r["offset"]): zlib.crc32(np.array(r["ids"], "<u4").tobytes()) for r in out}
+    derived = packing.digests(packed).collect()
+    assert {(r["sequence_id"], r["offset"]): r["ids_crc32"] for r in derived} == crc and len(derived) == len(out)
+
+
+def test_copies_of_a_document_are_told_apart(spark):
+    text = " ".join(f"word{k}" for k in range(300))
+    out = packing.pack(table(spark, [(1, text, "a"), (1, text, "a")]), TOKENIZER, capacity=128).collect()
+    copies = {n: sorted(r["piece"] for r in out if r["doc_row"] == n) for n in {r["doc_row"] for r in out}}
+    assert len(copies) == 2 and all(p == list(range(len(out) // 2)) and len(p) > 1 for p in copies.values())
+
+
 def test_license_scan(spark):
     rows = [
         (1, "first line\nLicensed under the  APACHE license version 2.0\nlast", "a"),
