@@ -90,8 +90,21 @@ def base(text: Column) -> Column:
 
 def _lines(text: Column) -> Column:
     """Normalised lines that have a word: lower case, white space runs as one blank, trimmed."""
+    return F.filter(_all_lines(text), lambda x: x != "")
+
+
+def _all_lines(text: Column) -> Column:
+    """Normalised lines, one for each line of the text; lines without a word are empty."""
     flat = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[ \t\x0B\f\r]+", " ")
-    return F.filter(F.transform(F.split(flat, "\n"), lambda x: F.trim(x)), lambda x: x != "")
+    return F.transform(F.split(flat, "\n"), lambda x: F.trim(x))
+
+
+def without_lines(text: Column, lost: Column) -> Column:
+    """The text without the lines whose normalised form has a hash in ``lost``; other lines stay as they are."""
+    return let(
+        F.transform(_all_lines(text), lambda x: F.xxhash64(x)),
+        lambda h: F.array_join(F.filter(F.split(text, "\n"), lambda x, i: ~F.array_contains(lost, h[i])), "\n"),
+    )
 
 
 def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits) -> DataFrame:
@@ -120,7 +133,7 @@ def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, l
 
 
 def removals(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits) -> DataFrame:
-    """Per document that loses lines: id, tk, n_words, removed_words, depleted.
+    """Per document that loses lines: id, tk, n_words, removed_words, lost (hashes of the lines), depleted.
 
     The document with the smallest id of a host keeps the line, so that one whole copy of any passage
     survives. Repeated rows (same id and text) share one result.
@@ -146,9 +159,12 @@ def removals(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits:
     )
     lost = (
         hit.groupBy("id", "tk", "pos")
-        .agg(F.max("n_words").alias("n_words"), F.max("line.w").alias("w"))
+        .agg(F.max("n_words").alias("n_words"), F.max("line.w").alias("w"), F.max("line.lh").alias("lh"))
         .groupBy("id", "tk")
-        .agg(F.max("n_words").cast("long").alias("n_words"), F.sum("w").cast("long").alias("removed_words"))
+        .agg(
+            F.max("n_words").cast("long").alias("n_words"), F.sum("w").cast("long").alias("removed_words"),
+            F.collect_set("lh").alias("lost"),
+        )
     )
     left = F.col("n_words") - F.col("removed_words")
     depleted = (left < limits.min_left_words) | (100 * left < limits.min_left_pct * F.col("n_words"))
@@ -188,14 +204,29 @@ def keep_good(
     text_col: str = "text",
     host_col: str = "source",
     limits: Limits = Limits(),  # noqa: B008
+    chars_col: str = "n_chars",
 ) -> DataFrame:
-    """The documents that pass, with all their columns. Only the keys of depleted documents are
-    written and anti-joined; their true size decides how Spark joins them."""
-    gone = removals(docs, id_col, text_col, host_col, limits).where("depleted")
-    gone = stage(gone.select(F.col("id").alias("__id"), F.col("tk").alias("__tk")))
+    """The documents that pass, with all their columns: the text without the lines above the limits, and
+    ``chars_col``, if there is such a column, as its new length. Documents that lose nothing stay as they are.
+    Only the keys of documents that lose lines, with the hashes of these, are written and joined; their
+    true size decides how Spark joins them."""
+    lost = removals(docs, id_col, text_col, host_col, limits)
+    lost = stage(lost.select(F.col("id").alias("__id"), F.col("tk").alias("__tk"), F.col("lost").alias("__lost"), F.col("depleted").alias("__gone")))
     packed = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"),
         F.col(id_col).alias("id"), text_key(F.col(text_col)).alias("tk"), base(F.col(text_col)).alias("s"),
     )
     same = F.col("id").eqNullSafe(F.col("__id")) & (F.col("tk") == F.col("__tk"))
-    return packed.where("not s.base_failed").select("doc", "id", "tk").join(gone, same, "left_anti").select("doc.*")
+    kept = packed.where("not s.base_failed").select("doc", "id", "tk").join(lost, same, "left").where("not coalesce(__gone, false)")
+    old = F.col("doc").getField(text_col)
+    kept = kept.withColumn("clean", F.when(F.col("__lost").isNotNull(), without_lines(old, F.col("__lost"))).otherwise(old))
+
+    def out(c: str) -> Column:
+        value = F.col("doc").getField(c)
+        if c == text_col:
+            value = F.col("clean")
+        elif c == chars_col:
+            value = F.when(F.col("__lost").isNotNull(), F.length("clean").cast(docs.schema[c].dataType)).otherwise(value)
+        return value.alias(c)
+
+    return kept.select(*map(out, docs.columns))

@@ -80,6 +80,19 @@ def test_quality_verdict(spark, limits):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(want)
 
 
+def test_lines_above_the_limits_leave_the_text(spark):
+    own = lambda i: f"  These words of document {i} are its own,\n\nand there are more than ten of them in {i} "
+    text = lambda i: f"Share  this PAGE\n{own(i)}\n share this page"
+    rows = [(i, text(i), "host", len(text(i)), "x") for i in range(25)]
+    rows += [(100, text(100), "other", len(text(100)), "x"), (101, "Share this page\nshare this page\nfour words of own", "host", 54, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, n_chars long, `a.b` string")
+    kept = quality_rules.keep_good(docs)
+    assert kept.schema == docs.schema
+    got = {r["doc_id"]: (r["text"], r["n_chars"]) for r in kept.collect()}
+    want = {i: own(i) for i in range(1, 25)} | {0: text(0), 100: text(100)}
+    assert got == {i: (t, len(t)) for i, t in want.items()}
+
+
 def test_exact_classes(docs):
     want = brute.exact([r[:2] for r in corpus()])
     got = exact_dedup.classes(docs).collect()
