@@ -311,6 +311,24 @@ def test_license_scan(spark):
     assert all(0.8 <= r["dice"] <= 1 for r in got)
 
 
+def test_notices_inside_longer_texts(spark):
+    import textwrap
+
+    wrapped = {n: textwrap.fill(license_scan.TEMPLATES[n], 76) for n in ("apache-2.0-notice", "gpl-3.0-notice", "mit-permission")}
+    other = " ".join(f"other{k} word" for k in range(200))
+    rows = [(k, f"{other}\n{text}\n{other}", "a") for k, text in enumerate(wrapped.values())]
+    rows += [
+        (10, "This project is free to use. Released under the MIT License.", "a"),
+        (11, f"{other} Released under\nthe MIT License. {other}\nReleased under the MIT License.\n{other} released under the mit license", "a"),
+        (12, f"{other}\nreleased under some licence of the house", "a"),
+    ]
+    got = license_scan.scan(table(spark, rows), templates=license_scan.TEMPLATES).collect()
+    found = sorted((r["doc_id"], r["license"], r["line"]) for r in got if r["doc_id"] > 2 or r["license"] in wrapped)
+    want = [(k, n, 2) for k, n in enumerate(wrapped)] + [(10, "mit", 1), (11, "mit", 1), (11, "mit", 3), (11, "mit", 4)]
+    assert found == want
+    assert not any(r["whole"] for r in got) and all(0.8 <= r["dice"] <= 1 for r in got)
+
+
 @pytest.mark.parametrize(
     "run",
     [
