@@ -7,9 +7,11 @@ All are normalised to words and compared by the Dice coefficient over their dist
 from __future__ import annotations
 
 import json
+import pkgutil
 import re
 import zlib
 from collections.abc import Mapping
+from functools import lru_cache
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -48,6 +50,12 @@ TEMPLATES = {
 }
 
 
+@lru_cache(maxsize=1)
+def license_texts() -> dict[str, str]:
+    """Whole licence texts and complete standard headers, from the file beside this module."""
+    return json.loads(pkgutil.get_data(__package__, "licenses.json"))
+
+
 def _template_bigrams(text: str) -> list[str]:
     found = re.findall(r"[a-z0-9]+", text.lower())
     return sorted({f"{a} {b}" for a, b in zip(found, found[1:], strict=False)})
@@ -157,7 +165,7 @@ def scan(
     threshold_pct: int = THRESHOLD_PCT,
 ) -> DataFrame:
     """Per document, licence and place that reaches the threshold: id, tk, license, whole, line, shared,
-    size, template_size, dice. Without ``templates``, all notices are looked for.
+    size, template_size, dice. Without ``templates``, all notices and the licence texts are looked for.
 
     A place is the whole text (line 0), a line (from 1), or a window of words anywhere in the text, with
     the line in which it begins. Windows are reported where neither the whole text nor a line that they
@@ -168,7 +176,7 @@ def scan(
     A place that matches shares two thirds (by the threshold) of the template's bigrams, so the text does.
     A bitmap of digests of all template bigrams leaves few bigrams of a text to be counted against that.
     """
-    given = TEMPLATES if templates is None else templates
+    given = {**TEMPLATES, **license_texts()} if templates is None else templates
     known, every = [], set()
     for name, body in sorted(given.items()):
         if grams := _template_bigrams(body):

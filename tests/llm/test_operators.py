@@ -329,6 +329,15 @@ def test_notices_inside_longer_texts(spark):
     assert not any(r["whole"] for r in got) and all(0.8 <= r["dice"] <= 1 for r in got)
 
 
+def test_whole_licence_texts(spark):
+    texts = license_scan.license_texts()
+    rows = [(k, f"Copyright (c) 2020 Some Person\n\n{t}", "a") for k, t in enumerate(texts.values())]
+    rows += [(100 + k, " ".join(f"own{n}" for n in range(12_000)) + "\n" + t, "a") for k, t in enumerate(texts.values())]
+    got = {(r["doc_id"], r["license"], r["whole"]) for r in license_scan.scan(table(spark, rows)).collect()}
+    for k, name in enumerate(texts):
+        assert {(k, name, True), (100 + k, name, False)} <= got, name
+
+
 @pytest.mark.parametrize(
     "run",
     [
