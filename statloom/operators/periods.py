@@ -94,33 +94,47 @@ def gap_series(
     """Totals per group and month with a row for every month of the calendar up to the last
     month of ``df``. A month without data has a NULL value, never zero.
 
-    The spine is generated per group from two scalar bounds, so no product of two relations
-    is formed.
+    Each row lays out the months up to its successor in the group, the first one also those before it:
+    only missing months are generated, without a spine that is joined back. Rows without a period or
+    before the calendar count for nothing.
     """
-    totals = df.groupBy(group, period).agg(
-        F.sum(value).alias(value), F.bool_or(flag).alias(flag)
+    low, high = calendar.agg(F.min(period)).scalar(), df.agg(F.max(period)).scalar()
+    totals = (
+        df.filter(F.col(period) >= low)
+        .groupBy(group, period)
+        .agg(F.sum(value).alias(value), F.bool_or(flag).alias(flag))
     )
-    low = calendar.agg(F.min(period)).scalar()
-    high = totals.agg(F.max(period)).scalar()
-    spine = totals.select(group).distinct().select(
-        group,
-        F.explode(F.sequence(low, high, F.expr("INTERVAL 1 MONTH"))).alias(period),
+    month = F.expr("INTERVAL 1 MONTH")
+    in_order = Window.partitionBy(group).orderBy(period)
+    first = F.when(F.lag(period).over(in_order).isNull(), low).otherwise(F.col(period))
+    last = F.add_months(F.coalesce(F.lead(period).over(in_order), F.add_months(high, 1)), -1)
+    laid = totals.withColumns({"_first": first, "_last": last}).select(
+        group, period, value, flag, F.explode(F.sequence("_first", "_last", month)).alias("_at")
     )
-    return spine.join(totals, [group, period], "left").select(
-        group, period, value, F.coalesce(F.col(flag), F.lit(False)).alias(flag)
+    here = F.col("_at") == F.col(period)
+    return laid.select(
+        group,
+        F.col("_at").alias(period),
+        F.when(here, F.col(value)).alias(value),
+        F.coalesce(F.when(here, F.col(flag)), F.lit(False)).alias(flag),
     )
 
 
 def year_spine(df: DataFrame, group: str, year: str, value: str) -> DataFrame:
     """Every year between the first and the last for every group, NULL where it is missing.
 
-    ``df`` has one row per group and year.
+    ``df`` has one row per group and year; each lays out the years up to its successor. Rows without a
+    year count for nothing.
     """
     low, high = df.agg(F.min(year)).scalar(), df.agg(F.max(year)).scalar()
-    spine = df.select(group).distinct().select(
-        group, F.explode(F.sequence(low, high)).alias(year)
+    in_order = Window.partitionBy(group).orderBy(year)
+    first = F.when(F.lag(year).over(in_order).isNull(), low).otherwise(F.col(year))
+    last = F.coalesce(F.lead(year).over(in_order) - 1, high)
+    laid = df.filter(F.col(year).isNotNull()).withColumns({"_first": first, "_last": last})
+    rows = laid.select(
+        group, F.col(year).alias("_of"), value, F.explode(F.sequence("_first", "_last")).alias(year)
     )
-    return spine.join(df.select(group, year, value), [group, year], "left")
+    return rows.select(group, year, F.when(F.col("_of") == F.col(year), F.col(value)).alias(value))
 
 
 def provisional_band(df: DataFrame, period: str, flag: str) -> DataFrame:

@@ -163,6 +163,12 @@ def rules_report(df: DataFrame, rules: Mapping[str, Column], severity: str = ERR
     return _verdict(rule_failures(df, rules), F.lit(severity))
 
 
+def observed_report(spark: SparkSession, failures: Mapping[str, int], severity: str = ERROR) -> DataFrame:
+    """Report lines of row rules whose failures were counted while their table was written."""
+    lines = [(name, severity, n, n == 0) for name, n in failures.items()]
+    return spark.createDataFrame(lines, REPORT)
+
+
 def quality_report(checks: Sequence[Check]) -> DataFrame:
     """One report line per check."""
     lines = [

@@ -45,14 +45,19 @@ def destinations(
     )
 
 
-def load_series(spark: SparkSession, raw: str, lake: str) -> int:
+def load_series(spark: SparkSession, raw: str, lake: str, load_id: str | None = None) -> int:
     df, origin = series(spark, raw)
-    return load_table(df, lake, "bronze", "ine_series", origin, ["codigo", "anio", "periodo"])
+    return load_table(df, lake, "bronze", "ine_series", origin, ["codigo", "anio", "periodo"], load_id)
 
 
 def load_destinations(
-    spark: SparkSession, raw: str, lake: str, decimal: str = ".", thousands: str = ","
+    spark: SparkSession,
+    raw: str,
+    lake: str,
+    decimal: str = ".",
+    thousands: str = ",",
+    load_id: str | None = None,
 ) -> int:
     df = destinations(spark, raw, decimal, thousands)
     order = ["anio", "mes", "_fichero_origen"]
-    return load_table(df, lake, "bronze", "murciaturistica_destinos", "murciaturistica", order)
+    return load_table(df, lake, "bronze", "murciaturistica_destinos", "murciaturistica", order, load_id)

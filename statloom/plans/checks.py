@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -114,8 +114,9 @@ def row_rules(table: str) -> dict[str, Column]:
     return rules
 
 
-def key_checks(t: Tables) -> list[q.Check]:
-    """Grain and foreign keys of the tables at hand."""
+def key_checks(t: Tables, keep: Callable[[DataFrame], DataFrame] = shared) -> list[q.Check]:
+    """Grain and foreign keys of the tables at hand. ``keep`` stores a relation that several checks read:
+    in the workspace of the session, or in that of a run (``Workspace.keep``)."""
     checks = []
     for table in t:
         for cols in GRAIN.get(table, []):
@@ -125,7 +126,7 @@ def key_checks(t: Tables) -> list[q.Check]:
             checks.append(q.Check(f"{kind} {table}({', '.join(cols)})", rows))
         keys = {c: to for c, to in RELATIONSHIPS.get(table, {}).items() if to[0] in t}
         # The key tuples in use are counted once; every parent is checked against these few rows.
-        used = shared(t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))) if keys else None
+        used = keep(t[table].groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))) if keys else None
         for col, (parent, field) in keys.items():
             rows = q.check_relationship(used, col, t[parent], field, "_n")
             checks.append(q.Check(f"relationships {table}.{col} -> {parent}", rows))
@@ -211,11 +212,21 @@ def missing_sample(series: DataFrame, catalogue: DataFrame) -> DataFrame:
     return q.sample_of(q.missing_keys(catalogue, "codigo", series), "codigo")
 
 
-def layer_report(t: Tables, between: Sequence[q.Check] = ()) -> DataFrame:
+def layer_report(
+    t: Tables,
+    between: Sequence[q.Check] = (),
+    keep: Callable[[DataFrame], DataFrame] = shared,
+    observed: Mapping[str, Mapping[str, int]] | None = None,
+) -> DataFrame:
     """Declared checks of the tables of a layer and those between them.
 
-    Row rules cost one scan per table, whatever their number.
+    ``observed`` has the failures of the row rules of tables that counted them while they were written;
+    these are not read again for them. The row rules of other tables cost one scan per table.
     """
-    parts = [q.rules_report(df, rules) for n, df in t.items() if (rules := row_rules(n))]
-    parts.append(q.quality_report([*key_checks(t), *between]))
+    observed = observed or {}
+    parts = [q.rules_report(df, rules) for n, df in t.items() if n not in observed and (rules := row_rules(n))]
+    counted = {rule: n for name, found in observed.items() if name in t for rule, n in found.items()}
+    if counted:
+        parts.append(q.observed_report(next(iter(t.values())).sparkSession, counted))
+    parts.append(q.quality_report([*key_checks(t, keep), *between]))
     return reduce(DataFrame.unionByName, parts)

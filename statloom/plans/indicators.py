@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -12,38 +12,40 @@ from statloom.operators import indicators as ind
 from statloom.operators import periods as per
 from statloom.operators import reconcile as rec
 from statloom.operators.reshape import latest_per_group
+from statloom.operators.staging import shared
 from statloom.plans import fixed_values as fx
 
 Tables = Mapping[str, DataFrame]
 
 
-def zones(t: Tables) -> DataFrame:
-    """Hotel demand of the portal by zone."""
+def monthly_base(t: Tables) -> DataFrame:
+    """The demand fact brought to source × group × month × residence in one pass.
+
+    The group is the zone of a destination of the portal, or the accommodation type of the region for the
+    statistics office; other rows of the office have none and count for the coverage only. All sections
+    over the demand fact start from these few cells.
+    """
     parents = t["dim_territorio"].select(
-        "territorio_id", label_by("padre_id", fx.ZONES, fx.OTHER_ZONE).alias("grupo")
+        "territorio_id", label_by("padre_id", fx.ZONES, fx.OTHER_ZONE).alias("_zona")
     )
-    rows = t["fct_demanda_mensual"].filter(F.col("fuente") == fx.PORTAL)
-    return rows.join(t["dim_fecha"], "fecha_id").join(parents, "territorio_id").select(
-        "fecha_id", "fecha", "anio", "mes", "grupo", "residencia_id", "viajeros", "pernoctaciones"
+    regional = (F.col("fuente") == fx.OFFICE) & (F.col("territorio_id") == fx.REGION)
+    group = F.when(regional, F.col("tipo_alojamiento_id")).when(F.col("fuente") == fx.PORTAL, F.col("_zona"))
+    rows = t["fct_demanda_mensual"].join(parents, "territorio_id", "left").withColumn("grupo", group)
+    cells = rows.groupBy("fuente", "grupo", "fecha_id", "residencia_id", "es_provisional").agg(
+        F.sum("viajeros").alias("viajeros"), F.sum("pernoctaciones").alias("pernoctaciones")
     )
+    dates = t["dim_fecha"].select("fecha_id", "fecha", "anio", "mes")
+    return cells.join(dates, "fecha_id")
 
 
-def region(t: Tables) -> DataFrame:
-    """Regional demand of the statistics office by accommodation type."""
-    rows = t["fct_demanda_mensual"].filter(
-        (F.col("fuente") == fx.OFFICE) & (F.col("territorio_id") == fx.REGION)
-    )
-    return rows.join(t["dim_fecha"], "fecha_id").select(
-        "fecha_id",
-        "fecha",
-        "anio",
-        "mes",
-        F.col("tipo_alojamiento_id").alias("grupo"),
-        "residencia_id",
-        "viajeros",
-        "pernoctaciones",
-        "es_provisional",
-    )
+def zones(base: DataFrame) -> DataFrame:
+    """Hotel demand of the portal by zone, from the monthly base."""
+    return base.filter((F.col("fuente") == fx.PORTAL) & F.col("grupo").isNotNull())
+
+
+def region(base: DataFrame) -> DataFrame:
+    """Regional demand of the statistics office by accommodation type, from the monthly base."""
+    return base.filter((F.col("fuente") == fx.OFFICE) & F.col("grupo").isNotNull())
 
 
 def complete_years(base: DataFrame) -> DataFrame:
@@ -133,9 +135,8 @@ def reconciliation(office: DataFrame, portal: DataFrame) -> DataFrame:
     )
 
 
-def coverage(t: Tables) -> DataFrame:
-    rows = t["fct_demanda_mensual"].join(t["dim_fecha"], "fecha_id")
-    row = ind.coverage(rows, "fecha", "fuente", [fx.OFFICE, fx.PORTAL], "es_provisional")
+def coverage(base: DataFrame) -> DataFrame:
+    row = ind.coverage(base, "fecha", "fuente", [fx.OFFICE, fx.PORTAL], "es_provisional")
     return row.withColumnsRenamed(
         {f"ultimo_mes_{fx.OFFICE}": "ultimo_mes_ine", f"ultimo_mes_{fx.PORTAL}": "ultimo_mes_mt"}
     )
@@ -151,20 +152,23 @@ def exception_runs(exceptions: DataFrame) -> DataFrame:
     return per.consecutive_runs(months, ["medida", "anio"], "mes")
 
 
-def all_indicators(t: Tables) -> dict[str, DataFrame]:
+def all_indicators(t: Tables, keep: Callable[[DataFrame], DataFrame] = shared) -> dict[str, DataFrame]:
     """Every section of the report as a DataFrame.
 
     ``t`` holds the written gold tables (small, already aggregated) and the documented
-    exceptions under ``excepciones_cuadre``.
+    exceptions under ``excepciones_cuadre``. The demand fact is read once: ``keep`` stores its monthly
+    base and the relations that several sections share, for as long as the sections are read.
     """
-    portal, office = zones(t), region(t)
-    years_portal, years_office = complete_years(portal), complete_years(office)
-    types_year, zones_year = annual(office, years_office), annual(portal, years_portal)
-    types_month = seasonal_profile(office, years_office)
-    zones_month = seasonal_profile(portal, years_portal)
-    series, staff, price = monthly_series(office, t["dim_fecha"]), employment(t), price_series(t)
+    base = keep(monthly_base(t))
+    portal, office = zones(base), region(base)
+    years_portal, years_office = keep(complete_years(portal)), keep(complete_years(office))
+    types_year, zones_year = keep(annual(office, years_office)), annual(portal, years_portal)
+    types_month = keep(seasonal_profile(office, years_office))
+    zones_month = keep(seasonal_profile(portal, years_portal))
+    series, staff = keep(monthly_series(office, t["dim_fecha"])), keep(employment(t))
+    price = keep(price_series(t))
     return {
-        "meta": coverage(t),
+        "meta": coverage(base),
         "anios_completos_mt": years_portal.orderBy("anio"),
         "anios_completos_ine": years_office.orderBy("anio"),
         "perfil_zonas_mes": zones_month.orderBy("grupo", "mes"),

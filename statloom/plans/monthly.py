@@ -18,7 +18,14 @@ from statloom.plans.tables import from_csv
 from statloom.sources.schemas import GOLD
 from statloom.session import cluster_settings
 from statloom.sources import files
-from statloom.sources.store import read_table, replace_table, show_version, write_version
+from statloom.sources.store import (
+    observed_failures,
+    read_ledger,
+    read_table,
+    replace_table,
+    show_version,
+    write_version,
+)
 
 #: Sort order inside the files of each written table.
 ORDER = {
@@ -31,20 +38,27 @@ ORDER = {
 
 
 def _write(spark: SparkSession, lake: str, layer: str, name: str, df: DataFrame) -> DataFrame:
-    """Replace a table and read it back: later steps start from the written files."""
+    """Replace a table and read it back: later steps start from the written files. The declared rules on
+    its rows are counted on the way."""
     folder = f"{lake}/{layer}/{name}"
-    replace_table(df, folder, ORDER.get(name, []), allow_empty=True)
+    replace_table(df, folder, ORDER.get(name, []), allow_empty=True, rules=checks.row_rules(name))
     return read_table(spark, folder)
 
 
 def load(
-    spark: SparkSession, raw: str, lake: str, decimal: str = ".", thousands: str = ","
+    spark: SparkSession,
+    raw: str,
+    lake: str,
+    decimal: str = ".",
+    thousands: str = ",",
+    load_id: str | None = None,
 ) -> dict[str, int]:
-    """Bronze: both sources, with ledger entries."""
+    """Bronze: both sources, with ledger entries. A load that is tried again with its ``load_id`` replaces
+    its entries."""
     return {
-        "bronze.ine_series": bronze.load_series(spark, raw, lake),
+        "bronze.ine_series": bronze.load_series(spark, raw, lake, load_id),
         "bronze.murciaturistica_destinos": bronze.load_destinations(
-            spark, raw, lake, decimal, thousands
+            spark, raw, lake, decimal, thousands, load_id
         ),
     }
 
@@ -99,7 +113,10 @@ def build_gold(
         "fct_oferta_mensual": gold.supply(observations),
         "fct_precios_mensual": gold.prices(observations),
     }
-    versions = {n: write_version(df, f"{lake}/gold/{n}", ORDER.get(n, []))[0] for n, df in star.items()}
+    versions = {
+        n: write_version(df, f"{lake}/gold/{n}", ORDER.get(n, []), rules=checks.row_rules(n))[0]
+        for n, df in star.items()
+    }
     return {n: spark.read.parquet(f"{lake}/gold/{n}/{v}") for n, v in versions.items()}, versions
 
 
@@ -113,13 +130,14 @@ def run(
     complete_data: bool = True,
     decimal: str = ".",
     thousands: str = ",",
+    load_id: str | None = None,
 ) -> dict[str, DataFrame]:
     """One monthly run. Returns the indicators and the check reports.
 
     Every layer passes its gate before the next one is built: a failed blocking check stops
     the run, a warning only shows in the report.
     """
-    load(spark, raw, lake, decimal, thousands)
+    load(spark, raw, lake, decimal, thousands, load_id)
     loaded = checks.bronze_report(
         read_table(spark, f"{lake}/bronze/ine_series"), reference["series_ine"], today
     )
@@ -128,15 +146,18 @@ def run(
     reports = [q.gate(spark, loaded)]
     clean = build_silver(spark, lake, reference)
     between = checks.silver_checks(clean, complete_data)
-    reports.append(q.gate(spark, checks.layer_report(clean, between)))
+    written = ("int_ine__observaciones", "int_mt__filas_clasificadas", "int_mt__ocupacion_destino")
+    counted = {n: observed_failures(spark, f"{lake}/silver/{n}") for n in written}
+    reports.append(q.gate(spark, checks.layer_report(clean, between, observed=counted)))
     star, versions = build_gold(spark, lake, clean)
     between = checks.gold_checks(star, reference["excepciones_cuadre"])
-    reports.append(q.gate(spark, checks.layer_report(star, between)))
+    counted = {n: observed_failures(spark, f"{lake}/gold/{n}", v) for n, v in versions.items()}
+    reports.append(q.gate(spark, checks.layer_report(star, between, observed=counted)))
     for name, version in versions.items():
         show_version(spark, f"{lake}/gold/{name}", version)
     out = {
         **indicators.all_indicators({**reference, **star}),
-        "_cargas": spark.read.parquet(f"{lake}/bronze/_cargas"),
+        "_cargas": read_ledger(spark, f"{lake}/bronze/_cargas"),
         "_pruebas": reduce(DataFrame.unionByName, reports),
     }
     if package is not None:
@@ -200,6 +221,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--package", help="folder of the data package")
     parser.add_argument("--indicators", help="folder of the indicator files")
     parser.add_argument("--today", help="ISO date used by the freshness check")
+    parser.add_argument("--load-id", help="name of this run in the ledger; a retry with it adds no second line")
     parser.add_argument("--partial", action="store_true", help="not every series is loaded")
     parser.add_argument("--input-bytes", type=int, help="size of the raw data, to size shuffles and scans")
     parser.add_argument("--cores", type=int, help="executor cores of the run")
@@ -211,7 +233,8 @@ def main(argv: list[str] | None = None) -> None:
     paths = {"series_ine": args.series, "excepciones_cuadre": args.exceptions}
     reference = from_csv(spark, {n: p for n, p in paths.items() if p})
     out = run(
-        spark, args.raw, args.lake, reference, args.package, args.today, not args.partial
+        spark, args.raw, args.lake, reference, args.package, args.today, not args.partial,
+        load_id=args.load_id,
     )
     if args.indicators:
         write_indicators(out, args.indicators)

@@ -12,7 +12,7 @@ from statloom.operators.fingerprint import contract_rows
 from statloom.operators.indicators import period_text
 from statloom.plans import fixed_values as fx
 from statloom.sources import files
-from statloom.sources.store import checksums, export
+from statloom.sources.store import checksums, current_path, export, new_version, show_version
 
 CONTRACT_FILE = "contrato.json"
 CHECKSUM_FILE = "SHA256SUMS"
@@ -50,27 +50,36 @@ def publish(
     tables: Mapping[str, DataFrame],
     folder: str,
     version: str = fx.CONTRACT_VERSION,
+    keep: int = 2,
 ) -> dict:
     """Write the package and return its contract.
 
-    A previous package in the folder is replaced: tables that its contract lists and the new one
-    lacks are removed once the new package is written. Other names are not touched.
+    Tables, contract and checksums go to a directory of their own, which becomes the package when one
+    pointer file is renamed (:func:`package_path`): readers see the old package or the new one, whole, and
+    a run that fails leaves the old one with the contract and the checksums that fit it. The last ``keep``
+    packages stay. Other names in the folder are not touched.
     """
     if not tables:
         raise ValueError("gold has no tables to publish")
-    before = f"{folder}/{CONTRACT_FILE}"
-    listed = json.loads(files.read_text(spark, before))["tablas"] if files.exists(spark, before) else {}
-    export(tables, folder)
-    written = {n: spark.read.parquet(f"{folder}/{n}.parquet") for n in tables}
-    document = contract(written, version)
-    text = json.dumps(document, ensure_ascii=False, indent=2) + "\n"
-    files.write_text(spark, f"{folder}/{CONTRACT_FILE}", text)
-    sums = [
-        checksums(spark, f"{folder}/{n}.parquet", "part-*").orderBy("fichero") for n in sorted(tables)
-    ]
-    sums.append(checksums(spark, f"{folder}/{CONTRACT_FILE}"))
-    lines = [f"{r.sha256}  {r.fichero}" for part in sums for r in part.toLocalIterator()]
-    files.write_text(spark, f"{folder}/{CHECKSUM_FILE}", "\n".join(lines) + "\n")
-    for old in set(listed) - set(tables):
-        files.remove(spark, f"{folder}/{old}.parquet")
+    name = new_version()
+    out = f"{folder}/{name}"
+    try:
+        export(tables, out)
+        written = {n: spark.read.parquet(f"{out}/{n}.parquet") for n in tables}
+        document = contract(written, version)
+        text = json.dumps(document, ensure_ascii=False, indent=2) + "\n"
+        files.write_text(spark, f"{out}/{CONTRACT_FILE}", text)
+        sums = [checksums(spark, f"{out}/{n}.parquet", "part-*").orderBy("fichero") for n in sorted(tables)]
+        sums.append(checksums(spark, f"{out}/{CONTRACT_FILE}"))
+        lines = [f"{r.sha256}  {r.fichero}" for part in sums for r in part.toLocalIterator()]
+        files.write_text(spark, f"{out}/{CHECKSUM_FILE}", "\n".join(lines) + "\n")
+    except BaseException:
+        files.remove(spark, out)
+        raise
+    show_version(spark, folder, name, keep)
     return document
+
+
+def package_path(spark: SparkSession, folder: str) -> str:
+    """Directory of the current package: tables, contract and checksums that belong together."""
+    return current_path(spark, folder)

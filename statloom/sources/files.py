@@ -56,6 +56,13 @@ def write_text(spark: SparkSession, path: str, text: str) -> None:
     context.rename(fs.makeQualified(part), fs.makeQualified(target), options)
 
 
+def make_until_exit(spark: SparkSession, path: str) -> None:
+    """Make a folder that is removed when the session's file system is closed, if it is still there."""
+    fs, p = _fs(spark, path)
+    fs.mkdirs(p)
+    fs.deleteOnExit(p)
+
+
 def remove(spark: SparkSession, path: str) -> None:
     fs, p = _fs(spark, path)
     fs.delete(p, True)

@@ -11,14 +11,27 @@ import re
 from collections.abc import Iterator, Sequence
 from html.parser import HTMLParser
 
-import pandas as pd
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from statloom.functions.columns import number
 
-CHARSET = re.compile(rb"charset=[\"']?([\w-]+)", re.IGNORECASE)
+#: Rows that a task gathers before it hands them on.
+BUFFER_ROWS = 4096
+
+_QUOTED = rb"""(?:[^>"']++|"[^"]*+"|'[^']*+')*+"""
+#: What a page consists of before its text is known: comments, elements whose content is no markup, tags.
+_MARKUP = re.compile(
+    rb"<!--.*?(?:-->|\Z)|<(?P<raw>script|style|title|textarea)\b" + _QUOTED + rb">.*?(?:</(?P=raw)|\Z)"
+    rb"|<meta(?P<meta>[\s/]" + _QUOTED + rb")>|</?[a-z]" + _QUOTED + rb">",
+    re.IGNORECASE | re.DOTALL,
+)
+_ATTRIBUTE = re.compile(rb"""([^\s/>"'=]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>"']+))""")
+_IN_CONTENT = re.compile(rb"charset\s*=\s*[\"']?([^\s\"';]+)", re.IGNORECASE)
+_MARKS = ((b"\xef\xbb\xbf", "utf-8-sig"), (b"\xff\xfe", "utf-16"), (b"\xfe\xff", "utf-16"))
 
 
 def _span(text: str | None) -> int:
@@ -83,9 +96,29 @@ class _FirstTable(HTMLParser):
             self.cell.append(data)
 
 
+def declared_charset(content: bytes) -> str | None:
+    """The encoding that a page declares: its byte-order mark, else the first meta tag with ``charset`` or
+    with ``http-equiv`` content type, wherever it stands. Text, comments, scripts and the attributes of
+    other tags declare nothing."""
+    for mark, encoding in _MARKS:
+        if content.startswith(mark):
+            return encoding
+    for tag in _MARKUP.finditer(content):
+        if tag["meta"] is None:
+            continue
+        found = {a[1].lower(): a[2] or a[3] or a[4] or b"" for a in _ATTRIBUTE.finditer(tag["meta"])}
+        name = found.get(b"charset")
+        if name is None and found.get(b"http-equiv", b"").strip().lower() == b"content-type":
+            inside = _IN_CONTENT.search(found.get(b"content", b""))
+            name = inside and inside[1]
+        if name:
+            return name.strip().decode("latin-1")
+    return None
+
+
 def _decode(content: bytes) -> str:
-    declared = CHARSET.search(content)
-    for encoding in ([declared[1].decode()] if declared else []) + ["utf-8"]:
+    declared = declared_charset(content)
+    for encoding in ([declared] if declared else []) + ["utf-8"]:
         try:
             return content.decode(encoding)
         except (LookupError, UnicodeDecodeError):
@@ -143,27 +176,37 @@ def html_tables(
     """
     names, keys, width = list(columns), list(keys), len(columns)
 
-    def extract(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for *page, data in batch[[*keys, content]].itertuples(index=False, name=None):
+            pages, name = batch.column(len(keys)), batch.column(0)
+            owner: list[int] = []
+            number: list[int] = []
+            cells: list[list[str | None]] = [[] for _ in names]
+            for k in range(batch.num_rows):
+                data = pages[k].as_py() or ""
                 try:
-                    rows = table_rows(data if isinstance(data, str) else bytes(data), width)
+                    rows = table_rows(data, width)
                 except ValueError as error:
-                    raise ValueError(f"{page[0]}: {error}") from error
+                    raise ValueError(f"{name[k].as_py()}: {error}") from error
                 if max((len(r) for r in rows), default=0) != width:
-                    raise ValueError(f"{page[0]}: expected a table of {width} columns")
-                out = [
-                    (*page, i, *row, *[None] * (width - len(row)))
-                    for i, row in enumerate(rows[skip_rows:], 1)
-                ]
-                yield pd.DataFrame(out, columns=[*keys, "fila", *names])
+                    raise ValueError(f"{name[k].as_py()}: expected a table of {width} columns")
+                for i, row in enumerate(rows[skip_rows:], 1):
+                    owner.append(k), number.append(i)
+                    for c, column in enumerate(cells):
+                        column.append(row[c] if c < len(row) else None)
+                if len(owner) >= BUFFER_ROWS or k == batch.num_rows - 1:
+                    taken = [batch.column(c).take(pa.array(np.array(owner, np.int64))) for c in range(len(keys))]
+                    texts = [pa.array(c, pa.string()) for c in cells]
+                    columns = [*taken, pa.array(number, pa.int32()), *texts]
+                    yield pa.RecordBatch.from_arrays(columns, names=[*keys, "fila", *names])
+                    owner, number, cells = [], [], [[] for _ in names]
 
     schema = T.StructType(
         [documents.schema[k] for k in keys]
         + [T.StructField("fila", T.IntegerType())]
         + [T.StructField(n, T.StringType()) for n in names]
     )
-    return documents.select(*keys, content).mapInPandas(extract, schema)
+    return documents.select(*keys, content).mapInArrow(extract, schema)
 
 
 def typed(

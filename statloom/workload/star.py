@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from statloom.functions.columns import percent, ratio
+from statloom.operators.periods import published_periods
 from statloom.operators.quality import rules_report
 from statloom.operators.staging import shared
 from statloom.plans import checks, gold, indicators, silver
@@ -50,7 +51,7 @@ def office_cells(cells: DataFrame, nations: DataFrame) -> DataFrame:
         ),
     )
     kind = _choice(F.col("tipo"), SEGMENTS, "apartamento")
-    return (
+    return shared(
         cells.withColumn("tipo", kind)
         .join(places, "nacion")
         .groupBy("fecha", "territorio", "tipo", "residencia")
@@ -159,14 +160,11 @@ def portal_rows(cells: DataFrame) -> DataFrame:
     home = F.col("residencia") == fx.RESIDENTS
     people, nights = F.col("viajeros"), F.col("pernoctaciones")
     sums = zip(MEASURES, [home, ~home] * 2, [people, people, nights, nights], strict=True)
-    cells = cells.groupBy(
-        "fecha", F.element_at(zones, spot).alias("zona"), F.element_at(labels, spot).alias("destino")
-    ).agg(
-        *[
-            F.coalesce(F.sum(F.when(cond, v)), F.lit(0)).cast("bigint").alias(m)
-            for m, cond, v in sums
-        ]
-    )
+    places = [F.element_at(zones, spot).alias("zona"), F.element_at(labels, spot).alias("destino")]
+    volumes = [
+        F.coalesce(F.sum(F.when(cond, v)), F.lit(0)).cast("bigint").alias(m) for m, cond, v in sums
+    ]
+    cells = shared(cells.groupBy("fecha", *places).agg(*volumes))
     hidden = (F.length("destino") + F.month("fecha")) % 4 == 0
     shown = cells.withColumns({m: F.when(hidden, 0).otherwise(F.col(m)) for m in MEASURES})
 
@@ -199,9 +197,9 @@ def _observations(spark: SparkSession, sf_dir: str, cells: DataFrame | None = No
     return shared(silver.catalogued(silver.series_observations(series), catalogue))
 
 
-def _portal(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+def _portal(cells: DataFrame, stg: DataFrame | None = None) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Classified rows, residual and occupancy of the portal."""
-    stg = silver.destination_rows(portal_rows(cells))
+    stg = silver.destination_rows(portal_rows(cells)) if stg is None else stg
     labels = built_in(cells.sparkSession)["destinos_murciaturistica"]
     rows = shared(silver.classified_rows(stg, labels))
     rest = silver.residual_by_zone(rows)
@@ -209,18 +207,23 @@ def _portal(cells: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
 
 
 def star(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
-    """Gold tables by name. What several of them read, or several indicators, is written once."""
+    """Gold tables by name. What several of them read, or several indicators, is written once.
+
+    The calendar needs the portal's published months only, not its occupancy.
+    """
     ref = built_in(spark)
     cells = base_cells(spark, sf_dir)
     obs = _observations(spark, sf_dir, cells)
-    both = {"dim_fecha", "fct_demanda_mensual"} & set(names)
-    occupancy = shared(_portal(cells)[2]) if both else None
+    portal = {"dim_fecha", "fct_demanda_mensual"} & set(names)
+    stg = silver.destination_rows(portal_rows(cells)) if portal else None
+    occupancy = shared(_portal(cells, stg)[2]) if "fct_demanda_mensual" in names else None
+    months = published_periods(stg, "fecha", silver.OCCUPANCY) if portal else None
     make = {
-        "dim_fecha": lambda: shared(gold.calendar(obs, occupancy)),
+        "dim_fecha": lambda: shared(gold.calendar(obs, months)),
         "dim_territorio": lambda: gold.territories(ref["territorios"]),
         "dim_tipo_alojamiento": lambda: gold.accommodation_types(ref["tipos_alojamiento"]),
         "dim_residencia": lambda: gold.residences(ref["residencias"]),
-        "fct_demanda_mensual": lambda: shared(gold.demand(obs, occupancy, ref["territorios"])),
+        "fct_demanda_mensual": lambda: gold.demand(obs, occupancy, ref["territorios"]),
         "fct_oferta_mensual": lambda: gold.supply(obs),
         "fct_precios_mensual": lambda: gold.prices(obs),
     }
@@ -442,8 +445,9 @@ def star_price_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_complete_years(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
-    office = indicators.complete_years(indicators.region(t)).withColumn("base", F.lit("ine"))
-    portal = indicators.complete_years(indicators.zones(t)).withColumn("base", F.lit("mt"))
+    base = shared(indicators.monthly_base(t))
+    office = indicators.complete_years(indicators.region(base)).withColumn("base", F.lit("ine"))
+    portal = indicators.complete_years(indicators.zones(base)).withColumn("base", F.lit("mt"))
     return office.unionByName(portal)
 
 
@@ -455,8 +459,8 @@ def star_complete_years(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_seasonal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
-    parts = []
-    for kind, base in (("tipo", indicators.region(t)), ("zona", indicators.zones(t))):
+    cells, parts = shared(indicators.monthly_base(t)), []
+    for kind, base in (("tipo", indicators.region(cells)), ("zona", indicators.zones(cells))):
         profile = indicators.seasonal_profile(base, indicators.complete_years(base))
         parts.append(profile.withColumn("clase", F.lit(kind)))
     return parts[0].unionByName(parts[1])
@@ -476,7 +480,7 @@ def star_seasonal_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def star_zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
-    base = indicators.zones(t)
+    base = shared(indicators.zones(indicators.monthly_base(t)))
     return indicators.zone_profile(base, indicators.complete_years(base))
 
 
@@ -503,8 +507,9 @@ def star_zone_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     select grupo, strftime(fecha, '%Y-%m'), null, false from sin_dato""",
 )
 def star_monthly_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha")
-    return indicators.monthly_series(indicators.region(t), t["dim_fecha"])
+    t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
+    base = indicators.monthly_base(t)
+    return indicators.monthly_series(indicators.region(base), t["dim_fecha"])
 
 
 @query(
@@ -554,7 +559,8 @@ lados as (
 )
 def star_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
     t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
-    return indicators.reconciliation(indicators.region(t), indicators.zones(t))
+    base = indicators.monthly_base(t)
+    return indicators.reconciliation(indicators.region(base), indicators.zones(base))
 
 
 @query(
@@ -567,7 +573,8 @@ def star_reconciliation(spark: SparkSession, sf_dir: str) -> DataFrame:
            (select m from mes where es_provisional order by m limit 1) as provisional_desde""",
 )
 def star_coverage(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return indicators.coverage(star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha"))
+    t = star(spark, sf_dir, "fct_demanda_mensual", "dim_fecha", "dim_territorio")
+    return indicators.coverage(indicators.monthly_base(t))
 
 
 @query(

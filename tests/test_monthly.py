@@ -4,15 +4,18 @@ from __future__ import annotations
 
 import hashlib
 import json
+import pathlib
 
 import pytest
+from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from statloom.operators.quality import QualityError
-from statloom.plans import checks, monthly, release
-from statloom.plans.tables import from_csv
+from statloom.operators.staging import shared
+from statloom.plans import checks, indicators, monthly, release
+from statloom.plans.tables import built_in, from_csv
 from statloom.sources.schemas import GOLD
-from statloom.sources.store import read_table, register_layers
+from statloom.sources.store import observed_failures, read_table, register_layers
 from tests import world
 
 TODAY = "2020-09-15"
@@ -76,8 +79,12 @@ def test_indicators(result):
     assert all(z.estancia_media == pytest.approx(3) for z in zones.values())
 
 
-def test_package(folder, result):
-    out = folder / "release"
+def _package(spark, folder):
+    return pathlib.Path(release.package_path(spark, str(folder)))
+
+
+def test_package(spark, folder, result):
+    out = _package(spark, folder / "release")
     contract = json.loads((out / "contrato.json").read_text("utf-8"))
     assert contract["periodo"] == {"desde": "2019-01", "hasta": "2020-06"}
     assert set(contract["tablas"]) == set(GOLD)
@@ -90,7 +97,7 @@ def test_package(folder, result):
     for line in lines:
         sha, name = line.split("  ")
         assert hashlib.sha256((out / name).read_bytes()).hexdigest() == sha
-    assert (out / "notas.txt").read_text("utf-8") == "de otra persona"
+    assert (folder / "release" / "notas.txt").read_text("utf-8") == "de otra persona"
     assert not any("notas.txt" in line for line in lines)
 
 
@@ -100,11 +107,54 @@ def test_publishing_again_replaces_old_tables(spark, folder, result, tmp_path):
     release.publish(spark, {**one, "vieja": spark.range(2)}, out)
     contract = release.publish(spark, one, out)
     assert contract["periodo"] == {"desde": "2015-01", "hasta": "2026-08"}
-    assert not (tmp_path / "p" / "vieja.parquet").exists()
+    assert not (_package(spark, out) / "vieja.parquet").exists()
     with pytest.raises(ValueError, match="gold"):
         release.publish(spark, {}, out)
 
 
+def test_a_package_that_fails_half_way_leaves_the_old_one(spark, tmp_path):
+    out = str(tmp_path / "p")
+    good = spark.createDataFrame([(201501, 1), (202608, 2)], "fecha_id int, n bigint")
+    release.publish(spark, {"fct_demanda_mensual": good, "otra": spark.range(3)}, out)
+    before = _package(spark, out)
+    bad = spark.range(5).select(F.raise_error(F.lit("boom")).cast("bigint").alias("id"))
+    with pytest.raises(PySparkException):
+        release.publish(spark, {"fct_demanda_mensual": good.limit(1), "otra": bad}, out)
+    assert _package(spark, out) == before and len([d for d in before.parent.iterdir() if d.is_dir()]) == 1
+    contract = json.loads((before / "contrato.json").read_text("utf-8"))
+    assert {n: spark.read.parquet(str(before / f"{n}.parquet")).count() for n in contract["tablas"]} == {
+        n: t["filas"] for n, t in contract["tablas"].items()
+    }
+    for line in (before / "SHA256SUMS").read_text("utf-8").splitlines():
+        sha, name = line.split("  ")
+        assert hashlib.sha256((before / name).read_bytes()).hexdigest() == sha
+
+
+def test_row_rules_cost_no_scan_of_a_written_layer(spark, folder, result):
+    lake, name = str(folder / "lake"), "fct_demanda_mensual"
+    fact = read_table(spark, f"{lake}/gold/{name}")
+    with_scan = checks.layer_report({name: fact})
+    counted = {name: observed_failures(spark, f"{lake}/gold/{name}")}
+    without = checks.layer_report({name: fact}, observed=counted)
+    rules = checks.row_rules(name)
+    assert set(counted[name]) == set(rules)
+    scans = lambda df: df._jdf.queryExecution().optimizedPlan().toString().count("parquet")
+    assert scans(without) == scans(with_scan) - 1
+    assert sorted(map(tuple, without.collect())) == sorted(map(tuple, with_scan.collect()))
+
+
+def test_indicators_read_the_demand_fact_once(spark, folder, result):
+    lake = str(folder / "lake")
+    fact = read_table(spark, f"{lake}/gold/fct_demanda_mensual").select("*", F.spark_partition_id().alias("_demand_fact"))
+    tables = {n: read_table(spark, f"{lake}/gold/{n}") for n in GOLD} | {"fct_demanda_mensual": fact}
+    tables["excepciones_cuadre"] = built_in(spark)["excepciones_cuadre"]
+    kept = []
+    sections = indicators.all_indicators(tables, lambda df: kept.append(df) or shared(df))
+    read = [d for d in [*kept, *sections.values()] if "_demand_fact" in d._jdf.queryExecution().analyzed().toString()]
+    assert len(read) == 1 and len(sections) == 26
+    assert {r.zona for r in sections["perfil_zonas"].collect()} == {"ciudad", "costa", "interior"}
+
+
 def test_indicator_files(spark, result, tmp_path):
     monthly.write_indicators({"cuadre": result["cuadre"], "precios": result["precios"]}, str(tmp_path))
     assert spark.read.json(str(tmp_path / "cuadre")).first().meses == 17

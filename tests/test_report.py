@@ -166,4 +166,4 @@ def test_a_year_without_one_group_is_not_complete(tables):
         "tipo_alojamiento_id", F.lit("rural")
     )
     more = {**tables, "fct_demanda_mensual": demand.unionByName(rural)}
-    assert indicators.complete_years(shared(indicators.region(more))).count() == 0
+    assert indicators.complete_years(shared(indicators.region(indicators.monthly_base(more)))).count() == 0

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime
 import random
 import re
 
@@ -15,7 +16,7 @@ from statloom.operators import periods as per
 from statloom.operators import quality as q
 from statloom.operators import reshape as res
 from statloom.operators import residual as rsd
-from statloom.operators.staging import shared
+from statloom.operators.staging import Workspace
 from statloom.plans.tables import built_in
 from statloom.session import cluster_settings
 from statloom.workload.tables import DEMAND_SQL, demand
@@ -87,7 +88,7 @@ def test_no_products_and_no_row_at_a_time_python(spark, small_dir, monkeypatch,
     assert "CartesianProduct" not in text
     assert "BroadcastNestedLoopJoin" not in text
     assert "BatchEvalPython" not in text
-    assert ("MapInPandas" in text) == name.startswith("html_")
+    assert ("MapInArrow" in text) == name.startswith("html_")
 
 
 def test_base_relation_scans_each_table_once_and_only_its_columns(spark, small_dir):
@@ -231,9 +232,31 @@ def test_a_whole_run_over_many_blocks_is_one_run(spark):
     assert [tuple(r) for r in per.consecutive_runs(df, ["k"], "p", 100).collect()] == [("a", 0, 9999, 10_000)]
 
 
-def test_shared_intermediates_run_once_and_only_when_needed(spark):
-    df = shared(spark.range(10).withColumn("x", F.col("id") * 2))
-    assert df.storageLevel.useDisk and df.storageLevel.useMemory
-    assert "InMemoryTableScan" in plan(df.select("x"))
-    assert df.count() == 10
-    df.unpersist()
+def test_kept_relations_end_the_lineage_and_go_with_their_workspace(spark, tmp_path):
+    with Workspace(spark, str(tmp_path)) as work:
+        df = work.keep(spark.range(10).withColumn("x", F.col("id") * 2))
+        assert "ReadSchema: struct<x:bigint>" in plan(df.select("x"))
+        assert df.agg(F.sum("x")).first()[0] == 90
+        assert len(list(tmp_path.iterdir())) == 1
+    assert list(tmp_path.iterdir()) == []
+    assert spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+@pytest.mark.parametrize("name", ["star_seasonal_profiles", "star_zone_profile", "star_complete_years", "star_price_series"])
+def test_deep_plans_stay_small(spark, small_dir, name):
+    df = entry.queries()[name](spark, small_dir)
+    text = df._jdf.queryExecution().toString()
+    assert len(text) < 100_000 and text.count("FileScan parquet") <= 12
+    assert "InMemory" not in text and spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+
+
+@pytest.mark.parametrize("make", [lambda df: per.gap_series(df, df, "g", "d", "v", "f"), lambda df: per.year_spine(df, "g", "y", "v")])
+def test_gaps_are_filled_without_a_join(spark, make):
+    schema = "g string, d date, y int, v bigint, f boolean"
+    days = [("a", 1), ("a", 4), ("b", 2), ("c", 5)]
+    df = spark.createDataFrame([(g, datetime.date(2020, m, 1), 2000 + m, m, True) for g, m in days], schema)
+    out = make(df)
+    assert "Join" not in plan(out)
+    column = out.columns[1]
+    found = {(r["g"], r[column].month if column == "d" else r[column] - 2000): r["v"] for r in out.collect()}
+    assert found == {(g, m): (m if (g, m) in days else None) for g in "abc" for m in range(1, 6)}

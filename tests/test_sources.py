@@ -62,7 +62,7 @@ def test_every_load_is_recorded_and_an_empty_one_keeps_the_table(spark, tmp_path
     with pytest.raises(store.EmptyLoad):
         bronze.load_series(spark, str(raw), lake)
     assert store.read_table(spark, f"{lake}/bronze/ine_series").count() == 3
-    ledger = spark.read.parquet(f"{lake}/bronze/_cargas").collect()
+    ledger = store.read_ledger(spark, f"{lake}/bronze/_cargas").collect()
     assert [(r.tabla, r.filas, r.origen) for r in ledger] == [("bronze.ine_series", 3, "ine/2026-09-01")] * 3
     versions = [n for n in files.list_names(spark, f"{lake}/bronze/ine_series", True) if n.startswith("v")]
     assert len(versions) == 2
@@ -156,8 +156,8 @@ def test_replacing_a_table_is_invisible_until_it_is_whole(spark, tmp_path):
 
 def test_export_and_checksums(spark, tmp_path):
     folder = tmp_path / "out"
-    store.export({"a": spark.range(100), "b": spark.range(5)}, str(folder), max_records=30)
-    store.export({"a": spark.range(100)}, str(folder), max_records=30)
+    store.export({"a": spark.range(100), "b": spark.range(5)}, str(folder), max_bytes=480)
+    store.export({"a": spark.range(100)}, str(folder), max_bytes=480)
     sums = {r.fichero: r.sha256 for r in store.checksums(spark, str(folder), "part-*").collect()}
     assert len([n for n in sums if n.startswith("a.parquet/")]) >= 4
     for name, sha in sums.items():
@@ -177,3 +177,63 @@ def test_spans_are_neither_clipped_nor_unbounded():
     with pytest.raises(ValueError, match="more than 9"):
         table_rows(page, 9)
     assert table_rows("<table><tr><td colspan='\u00b2'>a</td><td colspan='x'>b</td></tr></table>") == [["a", "b"]]
+
+
+@pytest.mark.parametrize(
+    "page, encoding",
+    [
+        ("<table><tr><td>España \u2013 charset=iso-8859-1</td></tr></table>", "utf-8"),
+        ("<!-- <meta charset='iso-8859-1'> --><table><tr><td>España</td></tr></table>", "utf-8"),
+        ("<script>'<meta charset=utf-16>'</script><table><tr><td>España</td></tr></table>", "utf-8"),
+        ("<p title='<meta charset=utf-16>'></p><table><tr><td>España</td></tr></table>", "utf-8"),
+        ("<meta charset='iso-8859-1'><table><tr><td>España</td></tr></table>", "utf-8-sig"),
+        ("<table><tr><td>España</td></tr></table>", "utf-16"),
+        ("<table><tr><td>España</td></tr></table><META CONTENT='text/html; Charset = \"cp1250\"' HTTP-EQUIV=content-type>", "cp1252"),
+        ("<meta name=charset content='charset=utf-16'><table><tr><td>España</td></tr></table>", "utf-8"),
+        ("<meta charset=unheard-of><table><tr><td>España</td></tr></table>", "utf-8"),
+        ("<table><tr><td>España</td></tr></table><meta charset='", "utf-8"),
+    ],
+)
+def test_only_marks_and_meta_tags_declare_a_charset(page, encoding):
+    cell = table_rows(page.encode(encoding))[0][0]
+    # The two Windows code pages differ in this letter: the declared one is taken, wherever it stands.
+    assert cell.startswith("Espańa" if encoding == "cp1252" else "España")
+    assert "\u00c3" not in cell
+
+
+def test_rows_are_handed_on_in_pieces(spark):
+    page = "<table>" + "".join(f"<tr><td>{i}</td></tr>" for i in range(9000)) + "</table>"
+    df = spark.createDataFrame([("a", page), ("b", "<table><tr><td>x</td></tr></table>")], "path string, content string")
+    rows = html_tables(df.coalesce(1), ["c"], 0).collect()
+    assert len(rows) == 9001
+    assert [(r.path, r.fila, r.c) for r in rows][8998:] == [("a", 8999, "8998"), ("a", 9000, "8999"), ("b", 1, "x")]
+    assert html_tables(df.limit(0), ["c"], 0).count() == 0
+
+
+def test_exported_files_are_bounded_in_bytes(spark, tmp_path):
+    rows = spark.range(200).select(
+        F.sha2(F.col("id").cast("string"), 512).alias("a"),
+        F.transform(F.sequence(F.lit(1), F.lit(40)), lambda i: F.rand(7)).alias("b"),
+        F.when(F.col("id") == 77, F.repeat(F.uuid(), 200)).alias("c"),
+    )
+    store.export({"t": spark.createDataFrame(rows.collect(), rows.schema)}, str(tmp_path), max_bytes=40_000)
+    files_ = list((tmp_path / "t.parquet").glob("part-*"))
+    assert len(files_) > 5 and max(f.stat().st_size for f in files_) < 40_000
+    assert spark.read.parquet(str(tmp_path / "t.parquet")).count() == 200
+    store.export({"empty": rows.limit(0)}, str(tmp_path))
+    assert spark.read.parquet(str(tmp_path / "empty.parquet")).count() == 0
+
+
+def test_a_load_that_is_tried_again_has_one_line(spark, tmp_path):
+    raw, lake = tmp_path / "raw", str(tmp_path / "lake")
+    world.write_series(raw, "2026-09-01", [document()])
+    for load_id in ("september", "september", "october"):
+        bronze.load_series(spark, str(raw), lake, load_id)
+    assert store.read_ledger(spark, f"{lake}/bronze/_cargas").count() == 2
+
+
+def test_failures_are_counted_while_a_table_is_written(spark, tmp_path):
+    rules = {"negative": F.col("id") < 0, "odd": F.col("id") % 2 == 1}
+    store.replace_table(spark.range(9), str(tmp_path), ["id"], rules=rules)
+    assert store.observed_failures(spark, str(tmp_path)) == {"negative": 0, "odd": 4}
+    assert store.read_table(spark, str(tmp_path)).count() == 9
