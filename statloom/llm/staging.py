@@ -2,33 +2,18 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession
 
-
-def shared_folder(spark: SparkSession) -> str:
-    """The session's checkpoint folder; only a local session without one gets a temporary folder."""
-    sc = spark.sparkContext
-    folder = (
-        spark.conf.get("spark.checkpoint.dir", None)
-        or sc.getConf().get("spark.checkpoint.dir")
-        or sc.getCheckpointDir()
-    )
-    if folder is None:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="llm-")
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(folder)
-    return folder.rstrip("/")
+from statloom.operators.staging import Workspace, session_workspace
+from statloom.operators.staging import shared_folder as shared_folder
 
 
 def stage(df: DataFrame) -> DataFrame:
     """Write a table once and read it back: its lineage ends here and its true size is known to the
-    planner. Like Spark's own checkpoint files, the files belong to whoever owns the folder."""
-    spark = df.sparkSession
-    path = f"{shared_folder(spark)}/stage-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    planner. The files go with the session, or with ``session_workspace(spark).clear()``."""
+    return session_workspace(df.sparkSession).keep(df, "stage")
+
+
+def workspace(spark: SparkSession) -> Workspace:
+    """A workspace for tables that are of no use once a step is done."""
+    return Workspace(spark, shared_folder(spark))
