@@ -5,7 +5,19 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from statloom.llm import chat, exact_dedup, license_scan, minhash, mixing, packing, quality_classifier, quality_rules, suffix_dedup, url_filter
+from statloom.llm import (
+    chat,
+    exact_dedup,
+    license_scan,
+    minhash,
+    mixing,
+    packing,
+    quality_classifier,
+    quality_rules,
+    suffix_dedup,
+    toxicity,
+    url_filter,
+)
 
 QUERIES: dict = {}
 
@@ -87,3 +99,8 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.remove_repeats(_documents(spark, sf_dir), with_bytes=False).drop("kept")
+
+
+@_query
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.score(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("offending")
