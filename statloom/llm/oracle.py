@@ -107,5 +107,26 @@ word AS (SELECT page_id, phrase FROM p, phrases WHERE regexp_matches(host || pat
 SELECT page_id, host, path, rule, CASE WHEN rule IS NOT NULL THEN v WHEN phrase IS NOT NULL THEN 'block' ELSE 'allow' END AS verdict,
   CASE WHEN rule IS NULL THEN phrase END AS pattern
 FROM p LEFT JOIN top USING (page_id) LEFT JOIN word USING (page_id)
+""",
+    "op12_collocations": rf"""
+WITH d AS (SELECT row_number() OVER () AS id, coalesce(lang, 'und') AS lang,
+             translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS t FROM documents),
+p AS (SELECT lang, unnest(regexp_split_to_array(t, '[.,;:!?\x0A-\x0D]')) AS piece FROM d),
+w AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM p),
+q AS (SELECT lang, ws, unnest([1, 2, 3, 4]) AS size FROM w),
+g AS (SELECT lang, size, unnest(list_transform(range(1, len(ws) - size + 2), lambda i: list_slice(ws, i, i + size - 1))) AS ph FROM q),
+f AS (SELECT lang, ph, size, count(*) AS c FROM g GROUP BY ALL HAVING count(*) >= 30),
+n AS (SELECT lang, sum(len(ws))::BIGINT AS n FROM w GROUP BY lang),
+c AS (SELECT lang, ph, size, c AS a FROM f WHERE size > 1 AND c >= 30),
+cut AS (SELECT c.*, k, list_slice(ph, 1, k) AS p1, list_slice(ph, k + 1, size) AS p2 FROM c, range(1, 4) AS s(k) WHERE k < size),
+k AS (SELECT t.*, x.c AS l, y.c AS r, ((2000000::HUGEINT * a) // (x.c::HUGEINT + y.c))::BIGINT AS score
+      FROM cut t JOIN f x ON x.lang = t.lang AND x.ph = p1 JOIN f y ON y.lang = t.lang AND y.ph = p2),
+b AS (SELECT * FROM k QUALIFY row_number() OVER (PARTITION BY lang, ph ORDER BY score, k) = 1),
+sub AS (SELECT lang, list_slice(ph, i, i + z - 1) AS ph, max(a) AS big FROM c, range(2, 4) AS s(z), range(1, 4) AS r(i)
+        WHERE z < size AND i + z - 1 <= size GROUP BY ALL),
+o AS (SELECT b.lang, array_to_string(b.ph, ' ') AS phrase, a, l, r, score FROM b
+      LEFT JOIN sub ON sub.lang = b.lang AND sub.ph = b.ph WHERE big IS NULL OR 100::HUGEINT * big < 80::HUGEINT * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM o JOIN n USING (lang) QUALIFY rank <= 2000
 """,
 }

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.llm import (
     chat,
+    collocations,
     exact_dedup,
     license_scan,
     minhash,
@@ -104,3 +105,9 @@ def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 @_query
 def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(_documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet")).drop("offending")
+
+
+@_query
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = collocations.collocations(_documents(spark, sf_dir))
+    return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
