@@ -1,6 +1,10 @@
 """Phrases whose words belong together, counted with burstable tries.
 
-A task counts the word sequences at every position of its texts in a trie: shallow levels of word ids, with
+A phrase can only be frequent if all its pairs of neighbouring words are: pairs are counted first, by hash,
+and a bitmap of the frequent ones ends every sequence where it cannot go on. The bitmap has a bounded size and
+errs only by letting a sequence go on, so no phrase is lost and all counts that follow are exact.
+
+A task then counts the word sequences at every position of its texts in a trie: shallow levels of word ids, with
 hash containers below that burst into a further level when they grow. When a trie is full, whole subtrees
 are spilled as sorted runs. Spark deals the runs out by ranges of their prefix and merges them in order, so
 the counts of all phrases with one beginning meet, and a prefix with very many rows is cut into several
@@ -9,6 +13,7 @@ ranges. Scores, containment and ranks are joins and windows over the few frequen
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,7 +22,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from statloom.llm.hashing import prefix_hashes, span_hash
+from statloom.llm.hashing import mixed, prefix_hashes, span_hash
 from statloom.llm.staging import stage
 
 LONGEST = 4
@@ -27,8 +32,11 @@ SCALE = 2_000_000
 CONTAINED_PCT = 80
 UNKNOWN = "und"
 #: Sequences in a trie before subtrees are spilled, and those of a container before it bursts.
-TRIE_ITEMS = 800_000
+TRIE_ITEMS = 500_000
 BURST_ITEMS = 4096
+#: Bits of the bitmap of frequent pairs for each of them, and at most (32 MB).
+PAIR_BITS = 16
+MAX_BITS = 1 << 28
 #: Bytes of text that enter a trie at once.
 TEXT_BYTES = 1 << 22
 
@@ -125,10 +133,9 @@ class _Words:
         self.ids: dict[int, int] = {}
         self.texts: list[bytes] = [b""]
 
-    def number(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray) -> np.ndarray:
+    def number(self, data: np.ndarray, start: np.ndarray, stop: np.ndarray, hashes: np.ndarray) -> np.ndarray:
         if not len(start):
             return np.zeros(0, np.int64)
-        hashes = span_hash(prefix_hashes(data), start, stop)
         unique, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         raw, ids = data.tobytes(), self.ids
         out = np.empty(len(unique), np.int64)
@@ -141,15 +148,79 @@ class _Words:
         return out[inverse]
 
 
+def _chunks(batch: pa.RecordBatch) -> Iterator[tuple[list[str], list[bytes]]]:
+    """Languages and texts of a batch in groups of about ``TEXT_BYTES``; a longer text is one."""
+    langs, texts, total, first = batch.column(0).to_pylist(), [], 0, 0
+    for k, text in enumerate(batch.column(1)):
+        texts.append((text.as_py() or "").encode("utf-8", "surrogatepass"))
+        total += len(texts[-1])
+        if total >= TEXT_BYTES or k == len(langs) - 1:
+            yield langs[first : k + 1], texts
+            texts, total, first = [], 0, k + 1
+
+
+def _lang_hashes(langs: list[str]) -> np.ndarray:
+    seeds = {x: int.from_bytes(hashlib.blake2b(x.encode("utf-8", "surrogatepass"), digest_size=8).digest()) for x in set(langs)}
+    return np.array([seeds[x] for x in langs], np.uint64)
+
+
+def _pair_hashes(hashes: np.ndarray, length: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Positions of the words with a successor in their piece, and the hashes of these pairs."""
+    at = np.flatnonzero(length > 1)
+    return at, mixed(mixed(hashes[at] + lang[at]) * np.uint64(0xD6E8FEB86659FD93) + hashes[np.minimum(at + 1, len(hashes) - 1)])
+
+
+def _given(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
+    text, lang = F.col(text_col).cast("string"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN))
+    return docs.select(lang.alias("lang"), text.alias("text"))
+
+
+def frequent_pairs(docs: DataFrame, text_col: str, lang_col: str, least: int) -> DataFrame:
+    """Hashes of the pairs of neighbouring words that occur ``least`` times or more in a language. Pairs are
+    summed per chunk of text before they are shuffled."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for langs, texts in _chunks(batch):
+                data, start, stop, owner, length = word_spans(texts)
+                if not len(start):
+                    continue
+                hashes = span_hash(prefix_hashes(data), start, stop)
+                _, pairs = _pair_hashes(hashes, length, _lang_hashes(langs)[owner])
+                unique, count = np.unique(pairs, return_counts=True)
+                columns = [pa.array(unique.view(np.int64)), pa.array(count.astype(np.int32))]
+                yield pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
+
+    counted = _given(docs, text_col, lang_col).mapInArrow(run, "pair long, n int")
+    return counted.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair")
+
+
+def pair_bitmap(pairs: DataFrame, max_bits: int = MAX_BITS) -> np.ndarray:
+    """Bitmap of the pairs' hashes modulo its size, ``max_bits`` at most whatever the number of pairs."""
+    bits = 1 << 15
+    while bits < min(max_bits, PAIR_BITS * pairs.count()):
+        bits *= 2
+    slots = pairs.select(F.pmod("pair", F.lit(bits)).alias("slot"))
+    blocks = slots.groupBy(F.expr("slot div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(slot % 32768)").alias("bits"))
+    out = np.zeros((bits >> 15, 4096), np.uint8)
+    for row in blocks.collect():
+        out[row["block"]] = np.frombuffer(row["bits"], np.uint8)
+    return out.ravel()
+
+
 _RUN = "lang string, path string, words int, n long"
 
 
-def sorted_runs(docs: DataFrame, text_col: str, lang_col: str, trie_items: int, burst: int) -> DataFrame:
+def sorted_runs(
+    docs: DataFrame, text_col: str, lang_col: str, frequent: np.ndarray, trie_items: int, burst: int
+) -> DataFrame:
     """Runs of (lang, path, words, n): the ``words`` words, ``LONGEST`` at most, that follow each other from a
-    position on within a piece, joined by blanks, with the number of such positions that a trie counted."""
+    position on within a piece, as far as their pairs are in the bitmap ``frequent``, joined by blanks, with
+    the number of such positions that a trie counted."""
+    sent, bits = docs.sparkSession.sparkContext.broadcast(frequent), np.uint64(len(frequent) * 8 - 1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie, words, langs = Trie(burst), _Words(), {}
+        trie, words, langs, bitmap = Trie(burst), _Words(), {}, sent.value
 
         def emit(keep: int) -> Iterator[pa.RecordBatch]:
             head, rest, count = trie.spill(keep)
@@ -181,38 +252,44 @@ def sorted_runs(docs: DataFrame, text_col: str, lang_col: str, trie_items: int,
                 )
 
         for batch in batches:
-            given = [langs.setdefault(x, len(langs)) for x in batch.column(0).to_pylist()]
-            texts = [(t or "").encode("utf-8", "surrogatepass") for t in batch.column(1).to_pylist()]
-            total, first = 0, 0
-            for k, text in enumerate(texts):
-                total += len(text)
-                if total < TEXT_BYTES and k < len(texts) - 1:
-                    continue
-                if len(words.texts) + total > (1 << _ID_BITS) - 8:
-                    # Ids would not fit: what was counted so far goes out with the old ids. A single text
-                    # of more bytes than ids still has fewer distinct words than that, but for its own size.
+            for named, texts in _chunks(batch):
+                if len(words.texts) + sum(map(len, texts)) > (1 << _ID_BITS) - 8:
+                    # Ids may not fit: what was counted so far goes out with the old ones.
                     yield from emit(0)
                     words = _Words()
-                data, start, stop, owner, length = word_spans(texts[first : k + 1])
-                word = words.number(data, start, stop)
+                data, start, stop, owner, length = word_spans(texts)
+                if not len(start):
+                    continue
+                hashes = span_hash(prefix_hashes(data), start, stop)
+                at, pairs = _pair_hashes(hashes, length, _lang_hashes(named)[owner])
+                place = pairs & bits
+                # Bits of a block of 4096 bytes count from the lowest bit of each byte on.
+                known = (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+                follows = np.zeros(len(start) + LONGEST, bool)
+                follows[at] = known.astype(bool)
+                word = words.number(data, start, stop, hashes)
                 if len(words.texts) >= 1 << _ID_BITS:
                     raise ValueError("a single text has more than two million different words")
-                rest = np.zeros(len(word), np.uint64)
+                rest, goes = np.zeros(len(word), np.uint64), np.ones(len(word), bool)
                 for j in range(1, LONGEST):
+                    goes &= follows[j - 1 : j - 1 + len(word)]
                     next_ = np.zeros(len(word), np.int64)
-                    next_[: len(word) - j] = np.where(length[: len(word) - j] > j, word[j:], 0)
-                    rest |= next_.astype(np.uint64) << np.uint64((LONGEST - 1 - j) * _ID_BITS)
-                head = (np.array(given[first : k + 1], np.int64)[owner] << _ID_BITS) | word
-                for at in range(0, len(head), trie_items):
-                    part = slice(at, at + trie_items)
-                    trie.add(head[part].tolist(), rest[part].tolist(), [1] * len(head[part]))
+                    next_[: len(word) - j] = word[j:]
+                    rest |= np.where(goes, next_, 0).astype(np.uint64) << np.uint64((LONGEST - 1 - j) * _ID_BITS)
+                group = np.array([langs.setdefault(x, len(langs)) for x in named], np.int64)[owner]
+                head = (group << _ID_BITS) | word
+                by = np.lexsort([rest, head])
+                head, rest = head[by], rest[by]
+                new = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (rest[1:] != rest[:-1])]))
+                count = np.diff(np.append(new, len(head)))
+                for first in range(0, len(new), trie_items):
+                    some = new[first : first + trie_items]
+                    trie.add(head[some].tolist(), rest[some].tolist(), count[first : first + trie_items].tolist())
                     if trie.items > trie_items:
                         yield from emit(trie_items // 4)
-                total, first = 0, k + 1
         yield from emit(0)
 
-    text, lang = F.col(text_col).cast("string"), F.coalesce(F.col(lang_col).cast("string"), F.lit(UNKNOWN))
-    return docs.select(lang.alias("lang"), text.alias("text")).mapInArrow(run, _RUN)
+    return _given(docs, text_col, lang_col).mapInArrow(run, _RUN)
 
 
 def merged(runs: DataFrame, least: int) -> DataFrame:
@@ -308,7 +385,8 @@ def collocations(
     left out. Every text and every occurrence counts; NULL texts are empty, NULL languages ``und``. Repeated
     rows count each. An empty table gives an empty result. Other columns are not read.
     """
-    runs = stage(sorted_runs(docs, text_col, lang_col, trie_items, burst))
+    pairs = stage(frequent_pairs(docs, text_col, lang_col, least))
+    runs = stage(sorted_runs(docs, text_col, lang_col, pair_bitmap(pairs), trie_items, burst))
     frequent = stage(merged(runs, least))
     totals = runs.groupBy(F.col("lang").alias("t_lang")).agg(F.sum("n").alias("total"))
     candidates = frequent.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
