@@ -1,8 +1,8 @@
 """Phrases whose words belong together, counted with burstable tries.
 
-A phrase can only be frequent if all its pairs of neighbouring words are: pairs are counted first, by hash,
-and a bitmap of the frequent ones ends every sequence where it cannot go on. The bitmap has a bounded size and
-errs only by letting a sequence go on, so no phrase is lost and all counts that follow are exact.
+A phrase can only be frequent if its words and all its pairs of neighbouring words are: these are counted
+first, by hash, and a bitmap of the frequent ones ends every sequence where it cannot go on. The bitmap has a
+bounded size and errs only by letting a sequence go on, so no phrase is lost and all counts are exact.
 
 A task then counts the word sequences at every position of its texts in a trie: shallow levels of word ids, with
 hash containers below that burst into a further level when they grow. When a trie is full, whole subtrees
@@ -14,6 +14,7 @@ ranges. Scores, containment and ranks are joins and windows over the few frequen
 from __future__ import annotations
 
 import hashlib
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,8 +35,8 @@ UNKNOWN = "und"
 #: Sequences in a trie before subtrees are spilled, and those of a container before it bursts.
 TRIE_ITEMS = 400_000
 BURST_ITEMS = 4096
-#: Bits of the bitmap of frequent pairs for each of them, and at most (32 MB).
-PAIR_BITS = 16
+#: Bits of the bitmap of frequent words and pairs for each of them, and at most (32 MB).
+KEY_BITS = 16
 MAX_BITS = 1 << 28
 #: Bytes of text that enter a trie at once.
 TEXT_BYTES = 1 << 20
@@ -164,10 +165,17 @@ def _lang_hashes(langs: list[str]) -> np.ndarray:
     return np.array([seeds[x] for x in langs], np.uint64)
 
 
-def _pair_hashes(hashes: np.ndarray, length: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the words with a successor in their piece, and the hashes of these pairs."""
-    at = np.flatnonzero(length > 1)
-    return at, mixed(mixed(hashes[at] + lang[at]) * np.uint64(0xD6E8FEB86659FD93) + hashes[np.minimum(at + 1, len(hashes) - 1)])
+def _keys(hashes: np.ndarray, length: np.ndarray, lang: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Hashes of the words in their language, positions of the words with a successor in their piece, and the
+    hashes of these pairs."""
+    single, at = mixed(hashes + lang), np.flatnonzero(length > 1)
+    return single, at, mixed(single[at] * np.uint64(0xD6E8FEB86659FD93) + hashes[np.minimum(at + 1, len(hashes) - 1)])
+
+
+def _is_set(bitmap: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """Whether the keys are in a bitmap of blocks of 4096 bytes, whose bits count from the lowest of each byte on."""
+    place = keys & np.uint64(len(bitmap) * 8 - 1)
+    return ((bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1).astype(bool)
 
 
 def _given(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
@@ -175,9 +183,9 @@ def _given(docs: DataFrame, text_col: str, lang_col: str) -> DataFrame:
     return docs.select(lang.alias("lang"), text.alias("text"))
 
 
-def frequent_pairs(docs: DataFrame, text_col: str, lang_col: str, least: int) -> DataFrame:
-    """Hashes of the pairs of neighbouring words that occur ``least`` times or more in a language. Pairs are
-    summed per chunk of text before they are shuffled."""
+def frequent_keys(docs: DataFrame, text_col: str, lang_col: str, least: int) -> DataFrame:
+    """Hashes of the words and of the pairs of neighbouring words that occur ``least`` times or more in a
+    language. They are summed per chunk of text before they are shuffled."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,21 +194,22 @@ def frequent_pairs(docs: DataFrame, text_col: str, lang_col: str, least: int) ->
                 if not len(start):
                     continue
                 hashes = span_hash(prefix_hashes(data), start, stop)
-                _, pairs = _pair_hashes(hashes, length, _lang_hashes(langs)[owner])
-                unique, count = np.unique(pairs, return_counts=True)
-                columns = [pa.array(unique.view(np.int64)), pa.array(count.astype(np.int32))]
-                yield pa.RecordBatch.from_arrays(columns, names=["pair", "n"])
+                single, _, pairs = _keys(hashes, length, _lang_hashes(langs)[owner])
+                for keys in (single, pairs):
+                    unique, count = np.unique(keys, return_counts=True)
+                    columns = [pa.array(unique.view(np.int64)), pa.array(count.astype(np.int32))]
+                    yield pa.RecordBatch.from_arrays(columns, names=["key", "n"])
 
-    counted = _given(docs, text_col, lang_col).mapInArrow(run, "pair long, n int")
-    return counted.groupBy("pair").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("pair")
+    counted = _given(docs, text_col, lang_col).mapInArrow(run, "key long, n int")
+    return counted.groupBy("key").agg(F.sum("n").alias("n")).where(F.col("n") >= least).select("key")
 
 
-def pair_bitmap(pairs: DataFrame, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Bitmap of the pairs' hashes modulo its size, ``max_bits`` at most whatever the number of pairs."""
-    bits = 1 << 15
-    while bits < min(max_bits, PAIR_BITS * pairs.count()):
+def bitmap_of(keys: DataFrame, max_bits: int = MAX_BITS) -> np.ndarray:
+    """Bitmap of hashes modulo its size, ``max_bits`` at most whatever their number."""
+    bits, wanted = 1 << 15, min(max_bits, KEY_BITS * keys.count())
+    while bits < wanted:
         bits *= 2
-    slots = pairs.select(F.pmod("pair", F.lit(bits)).alias("slot"))
+    slots = keys.select(F.pmod("key", F.lit(bits)).alias("slot"))
     blocks = slots.groupBy(F.expr("slot div 32768").alias("block")).agg(F.expr("bitmap_construct_agg(slot % 32768)").alias("bits"))
     out = np.zeros((bits >> 15, 4096), np.uint8)
     for row in blocks.collect():
@@ -215,12 +224,14 @@ def sorted_runs(
     docs: DataFrame, text_col: str, lang_col: str, frequent: np.ndarray, trie_items: int, burst: int
 ) -> DataFrame:
     """Runs of (lang, path, words, n): the ``words`` words, ``LONGEST`` at most, that follow each other from a
-    position on within a piece, as far as their pairs are in the bitmap ``frequent``, joined by blanks, with
-    the number of such positions that a trie counted."""
-    sent, bits = docs.sparkSession.sparkContext.broadcast(frequent), np.uint64(len(frequent) * 8 - 1)
+    position on within a piece, as far as they and their pairs are in the bitmap ``frequent``, joined by blanks,
+    with the number of such positions that a trie counted. Words that are not in it begin no path: how many
+    they are is a row of 0 words."""
+    sent = docs.sparkSession.sparkContext.broadcast(frequent)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trie, words, langs, bitmap = Trie(burst), _Words(), {}, sent.value
+        others: Counter = Counter()
 
         def emit(keep: int) -> Iterator[pa.RecordBatch]:
             head, rest, count = trie.spill(keep)
@@ -261,25 +272,27 @@ def sorted_runs(
                 if not len(start):
                     continue
                 hashes = span_hash(prefix_hashes(data), start, stop)
-                at, pairs = _pair_hashes(hashes, length, _lang_hashes(named)[owner])
-                place = pairs & bits
-                # Bits of a block of 4096 bytes count from the lowest bit of each byte on.
-                known = (bitmap[(place >> np.uint64(3)).astype(np.int64)] >> (place & np.uint64(7)).astype(np.uint8)) & 1
+                single, at, pairs = _keys(hashes, length, _lang_hashes(named)[owner])
+                kept = _is_set(bitmap, single)
                 follows = np.zeros(len(start) + LONGEST, bool)
-                follows[at] = known.astype(bool)
-                word = words.number(data, start, stop, hashes)
+                follows[at] = _is_set(bitmap, pairs)
+                word = np.zeros(len(start), np.int64)
+                word[kept] = words.number(data, start[kept], stop[kept], hashes[kept])
                 if len(words.texts) >= 1 << _ID_BITS:
                     raise ValueError("a single text has more than two million different words")
-                rest, goes = np.zeros(len(word), np.uint64), np.ones(len(word), bool)
+                rest, goes = np.zeros(len(word), np.uint64), kept.copy()
                 for j in range(1, LONGEST):
-                    goes &= follows[j - 1 : j - 1 + len(word)]
                     next_ = np.zeros(len(word), np.int64)
                     next_[: len(word) - j] = word[j:]
+                    goes &= follows[j - 1 : j - 1 + len(word)] & (next_ > 0)
                     rest |= np.where(goes, next_, 0).astype(np.uint64) << np.uint64((LONGEST - 1 - j) * _ID_BITS)
                 group = np.array([langs.setdefault(x, len(langs)) for x in named], np.int64)[owner]
-                head = (group << _ID_BITS) | word
+                others.update(dict(enumerate(np.bincount(group[~kept]).tolist())))
+                head, rest = ((group << _ID_BITS) | word)[kept], rest[kept]
                 by = np.lexsort([rest, head])
                 head, rest = head[by], rest[by]
+                if not len(head):
+                    continue
                 new = np.flatnonzero(np.concatenate([[True], (head[1:] != head[:-1]) | (rest[1:] != rest[:-1])]))
                 count = np.diff(np.append(new, len(head)))
                 for first in range(0, len(new), trie_items):
@@ -288,6 +301,11 @@ def sorted_runs(
                     if trie.items > trie_items:
                         yield from emit(trie_items // 4)
         yield from emit(0)
+        names = list(langs)
+        columns = [[names[g] for g in others], [None] * len(others), [0] * len(others), list(others.values())]
+        kinds = (pa.string(), pa.string(), pa.int32(), pa.int64())
+        arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
+        yield pa.RecordBatch.from_arrays(arrays, names=["lang", "path", "words", "n"])
 
     return _given(docs, text_col, lang_col).mapInArrow(run, _RUN)
 
@@ -358,7 +376,7 @@ def merged(runs: DataFrame, least: int) -> DataFrame:
             yield table(out)
         yield table([r for k in range(LONGEST) for r in closed(k, True)])
 
-    dealt = runs.repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
+    dealt = runs.where("words > 0").repartitionByRange("lang", "path").sortWithinPartitions("lang", "path")
     pieces = dealt.mapInArrow(run, "lang string, phrase string, words int, n long")
     whole = pieces.groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
     return whole.where(F.col("n") >= least)
@@ -385,8 +403,8 @@ def collocations(
     left out. Every text and every occurrence counts; NULL texts are empty, NULL languages ``und``. Repeated
     rows count each. An empty table gives an empty result. Other columns are not read.
     """
-    pairs = stage(frequent_pairs(docs, text_col, lang_col, least))
-    runs = stage(sorted_runs(docs, text_col, lang_col, pair_bitmap(pairs), trie_items, burst))
+    keys = stage(frequent_keys(docs, text_col, lang_col, least))
+    runs = stage(sorted_runs(docs, text_col, lang_col, bitmap_of(keys), trie_items, burst))
     frequent = stage(merged(runs, least))
     totals = runs.groupBy(F.col("lang").alias("t_lang")).agg(F.sum("n").alias("total"))
     candidates = frequent.where("words > 1").select("lang", "phrase", "words", F.col("n").alias("a"), F.split("phrase", " ").alias("w"))
