@@ -33,13 +33,13 @@ SCALE = 2_000_000
 CONTAINED_PCT = 80
 UNKNOWN = "und"
 #: Sequences in a trie before subtrees are spilled, and those of a container before it bursts.
-TRIE_ITEMS = 400_000
+TRIE_ITEMS = 200_000
 BURST_ITEMS = 4096
 #: Bits of the bitmap of frequent words and pairs for each of them, and at most (32 MB).
 KEY_BITS = 16
 MAX_BITS = 1 << 28
 #: Bytes of text that enter a trie at once.
-TEXT_BYTES = 1 << 20
+TEXT_BYTES = 1 << 19
 
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _KIND = np.zeros(256, np.int8)
