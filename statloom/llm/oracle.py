@@ -128,5 +128,19 @@ o AS (SELECT b.lang, array_to_string(b.ph, ' ') AS phrase, a, l, r, score FROM b
       LEFT JOIN sub ON sub.lang = b.lang AND sub.ph = b.ph WHERE big IS NULL OR 100::HUGEINT * big < 80::HUGEINT * a)
 SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
 FROM o JOIN n USING (lang) QUALIFY rank <= 2000
+""",
+    "op13_hard_negatives": """
+WITH v AS (SELECT vec_id AS id, (CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END)::BIGINT AS label,
+             list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT a.id AS a, b.id AS b, a.label = b.label AS same, list_dot_product(a.v, b.v)::BIGINT AS score
+      FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+p AS (SELECT a, b, score FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+  (row_number() OVER (PARTITION BY p.a, p.b ORDER BY s.score DESC, s.b))::INTEGER AS rank,
+  s.b AS negative_id, p.score AS positive_score, s.score AS negative_score
+FROM p JOIN s ON s.a = p.a AND NOT same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score
+QUALIFY rank <= 3
 """,
 }

@@ -9,6 +9,7 @@ from statloom.llm import (
     chat,
     collocations,
     exact_dedup,
+    hard_negatives,
     license_scan,
     minhash,
     mixing,
@@ -111,3 +112,10 @@ def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = collocations.collocations(_documents(spark, sf_dir))
     return found.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
+
+
+@_query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("id") % 50 == 0)
