@@ -111,20 +111,21 @@ class Trie:
 
     def spill(self, keep: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Take out whole subtrees, the largest first, until ``keep`` sequences are left: heads, rests, counts."""
-        heads, sizes, rests, counts = [], [], [], []
-        for head in sorted(self.sizes, key=lambda h: (-self.sizes[h], h)):
+        heads: list[int] = []
+        sizes: list[int] = []
+        rests: list[int] = []
+        counts: list[int] = []
+        for head in sorted(self.sizes, key=self.sizes.__getitem__, reverse=True):
             if self.items <= keep:
                 break
             table = self.root.pop(head)
-            for inner in table.values() if head in self.nodes else [table]:
-                rests.append(np.fromiter(inner.keys(), np.uint64, len(inner)))
-                counts.append(np.fromiter(inner.values(), np.int64, len(inner)))
+            for inner in table.values() if head in self.nodes else (table,):
+                rests.extend(inner.keys())
+                counts.extend(inner.values())
             heads.append(head), sizes.append(self.sizes[head])
             self.items -= self.sizes.pop(head)
             self.nodes.discard(head)
-        if not heads:
-            return np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64)
-        return np.repeat(np.array(heads, np.int64), sizes), np.concatenate(rests), np.concatenate(counts)
+        return np.repeat(np.array(heads, np.int64), sizes), np.array(rests, np.uint64), np.array(counts, np.int64)
 
 
 class _Words:
@@ -237,8 +238,8 @@ def sorted_runs(
             head, rest, count = trie.spill(keep)
             names = list(langs)
             # Ids by the order of their words: a run is sorted by language and words.
-            texts = np.array(words.texts, object)
-            order = np.argsort(texts, kind="stable")
+            vocabulary = pa.array(words.texts, pa.binary())
+            order = pc.sort_indices(vocabulary).to_numpy()
             place = np.empty(len(order), np.int64)
             place[order] = np.arange(len(order))
             mask = np.uint64((1 << _ID_BITS) - 1)
@@ -246,7 +247,6 @@ def sorted_runs(
             ids += [((rest >> np.uint64(k * _ID_BITS)) & mask).astype(np.int64) for k in (2, 1, 0)]
             group = head >> _ID_BITS
             by = np.lexsort([*(place[i] for i in reversed(ids)), group])
-            vocabulary = pa.array(words.texts, pa.binary())
             for at in range(0, len(by), 1 << 16):
                 some = by[at : at + (1 << 16)]
                 parts = [vocabulary.take(pa.array(i[some], mask=i[some] == 0)) for i in ids]

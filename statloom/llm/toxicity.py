@@ -179,9 +179,8 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str, text_col: str, label_co
     chosen = stage(
         one.where("label = other").drop("other").orderBy(F.xxhash64("l_id"), "l_id").limit(settings.train_docs)
     )
-    rows = docs.join(chosen, F.col(id_col) == F.col("l_id")).select(
-        "l_id", F.col(text_col).cast("string").alias("text"), "label"
-    )
+    slim = docs.select(F.col(id_col).alias("d_id"), F.col(text_col).cast("string").alias("text"))
+    rows = slim.join(chosen, F.col("d_id") == F.col("l_id")).select("l_id", "text", "label")
 
     def bags(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

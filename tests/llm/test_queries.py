@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import pytest
 
@@ -21,7 +22,7 @@ def test_query_equals_sql(spark, duck, small_dir, name):
 
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
-    assert numbers == list(range(1, 11))
+    assert numbers == list(range(1, 14))
     assert {*queries.QUERIES, "pipeline"} <= set(entry.queries())
 
 
@@ -97,3 +98,14 @@ def test_classifier_on_held_out_labels(spark, small_dir):
     scored = queries.op6_quality_classifier(spark, small_dir).where("held_out").collect()
     right = [r["predicted"] == truth[r["doc_id"]] for r in scored if r["doc_id"] in truth]
     assert len(right) > 10 and sum(right) >= 0.9 * len(right)
+
+
+def test_toxicity_on_held_out_labels(spark, small_dir):
+    truth = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{small_dir}/labels.parquet").collect()}
+    scored = queries.op11_toxicity(spark, small_dir).collect()
+    assert len(scored) == spark.read.parquet(f"{small_dir}/documents.parquet").count()
+    assert all(0 <= r["score"] <= 1 and r["predicted"] == (r["score"] >= 0.3) for r in scored)
+    held = [r for r in scored if r["held_out"] and r["doc_id"] in truth]
+    assert all(zlib.crc32(str(r["doc_id"]).encode()) % 4 == 2 for r in scored if r["held_out"])
+    clean = [r["predicted"] == 0 for r in held if truth[r["doc_id"]] == 0]
+    assert len(clean) > 10 and sum(clean) >= 0.9 * len(clean)
