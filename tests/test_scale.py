@@ -247,7 +247,7 @@ def test_deep_plans_stay_small(spark, small_dir, name):
     df = entry.queries()[name](spark, small_dir)
     text = df._jdf.queryExecution().toString()
     assert len(text) < 100_000 and text.count("FileScan parquet") <= 12
-    assert "InMemory" not in text and spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
+    assert "InMemoryTableScan" not in text and spark.sparkContext._jsc.getPersistentRDDs().isEmpty()
 
 
 @pytest.mark.parametrize("make", [lambda df: per.gap_series(df, df, "g", "d", "v", "f"), lambda df: per.year_spine(df, "g", "y", "v")])
