@@ -348,3 +348,45 @@ def test_whole_licence_texts(spark):
 )
 def test_empty_tables(nothing, run):
     assert run(nothing).collect() == []
+
+
+def test_unlinked_copies_cost_linear_pairs(spark, monkeypatch):
+    """Copies of one text, each too far from every other: pairs whose texts are compared grow with the copies."""
+    compared = {}
+    confirmed = minhash.confirmed
+
+    def counted(pairs, width, similarity_pct):
+        compared[size] = compared.get(size, 0) + pairs.count()
+        return confirmed(pairs, width, similarity_pct)
+
+    monkeypatch.setattr(minhash, "confirmed", counted)
+    for size in (100, 400):
+        rng = random.Random(7)
+        base = [f"w{k}" for k in range(200)]
+        rows = []
+        for i in range(size):
+            words = list(base)
+            for place in rng.sample(range(200), 14):
+                words[place] = f"x{i}_{place}"
+            rows.append((i, " ".join(words)))
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        found = minhash.near_duplicates(docs).collect()
+        assert all(r["component_id"] == r["doc_id"] for r in found)
+    assert compared.get(400, 0) <= 40 * 400
+    assert compared.get(400, 0) <= 8 * max(compared.get(100, 0), 100)
+
+
+def test_crowded_bucket_components_equal_brute_force(spark):
+    """Over a hundred edited copies share buckets: parts of them give the links of an exact comparison."""
+    rng = random.Random(3)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for i in range(150):
+        words = list(base)
+        for place in rng.sample(range(300), rng.choice([2, 5, 8, 11])):
+            words[place] = f"x{i}_{place}"
+        rows.append((i, " ".join(words)))
+    for some, exhaustive in ((rows, False), (rows[:30], True)):
+        docs = spark.createDataFrame(some, "doc_id long, text string")
+        found = minhash.near_duplicates(docs, exhaustive=exhaustive).collect()
+        assert {r["doc_id"]: r["component_id"] for r in found} == brute.near(some, 5)
