@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from statloom.operators import fingerprint as fp
 from statloom.operators import quality as q
-from statloom.sources.schemas import I, S
+from statloom.sources.schemas import DT, L, S
 from statloom.sources.schemas import table as contract
 from statloom.sources.store import register
 from statloom.workload import query
@@ -249,14 +249,24 @@ def contract_document(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fp.contract_rows({t: table(spark, sf_dir, t) for t in TABLES})
 
 
-@query("enforce_contract", "select n_regionkey as region, n_nationkey as clave, n_name as nombre from nation")
+@query(
+    "enforce_contract",
+    """select o_orderkey as pedido, o_custkey as cliente, cast(o_orderdate as date) as fecha, o_orderstatus as estado,
+           cast(round(o_totalprice * 100) as bigint) as centimos from orders""",
+)
 def enforce_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A table brought to its declared columns and order; any other column would stop it."""
-    declared = contract((I, "region", "clave"), (S, "nombre"), required=("clave",))
-    nations = table(spark, sf_dir, "nation").select(
-        F.col("n_name").alias("nombre"), F.col("n_nationkey").alias("clave"), F.col("n_regionkey").alias("region"),
+    """A growing fact brought to its declared columns and order; any other column would stop it, and so
+    would a NULL in a required one."""
+    declared = contract(
+        (L, "pedido", "cliente"), (DT, "fecha"), (S, "estado"), (L, "centimos"), required=("pedido", "cliente", "fecha")
+    )
+    return q.enforce(
+        table(spark, sf_dir, "orders").select(
+            F.round(F.col("o_totalprice") * 100).cast("bigint").alias("centimos"), F.col("o_orderdate").cast("date").alias("fecha"),
+            F.col("o_custkey").alias("cliente"), F.col("o_orderkey").alias("pedido"), F.col("o_orderstatus").alias("estado"),
+        ),
+        declared,
     )
-    return q.enforce(nations, declared)
 
 
 @query(

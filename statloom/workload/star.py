@@ -293,8 +293,6 @@ ocupacion as (
     select fecha, upper(zona[1]) || zona[2:] || ' (no desglosado)', zona, false, vr, vn, pr, pn
     from resto
 )"""
-_ZONE_NAMES = {"zona-costa": "costa", "zona-ciudad": "ciudad"}
-_TOWNS = ", ".join(f"('{t[0]}', '{_ZONE_NAMES.get(t[3], 'interior')}')" for t in fx.TERRITORIES if t[5])
 _IDS = ", ".join(f"('{t[0]}', '{t[5]}', '{t[3]}')" for t in fx.TERRITORIES if t[5])
 DEMAND_FACT_SQL = f"""
 territorios(territorio_id, etiqueta, padre_id) as (values {_IDS}),
@@ -318,18 +316,23 @@ con_fecha as (
     from demanda
 )"""
 WITH_STAR = f"with {OFFICE_SQL}, {PORTAL_SQL}, {DEMAND_FACT_SQL}"
+#: The office's region by kind and the portal's zones, each from its own source before any fact is made.
 BASES_SQL = f"""
-municipios(territorio_id, zona) as (values {_TOWNS}),
 regional as (
-    select tipo_alojamiento_id as grupo, con_fecha.* from con_fecha
-    where (territorio_id, fuente) = ('{fx.REGION}', 'INE')
+    select tipo as grupo, residencia as residencia_id, fecha, year(fecha) * 100 + month(fecha) as fecha_id,
+           cast(year(fecha) as smallint) as anio, cast(month(fecha) as smallint) as mes,
+           viajeros, pernoctaciones, es_provisional
+    from demanda_ine where territorio = '{fx.REGION}' and coalesce(viajeros, pernoctaciones) is not null
 ),
 por_zona as (
-    select zona as grupo, con_fecha.* from municipios join con_fecha using (territorio_id)
-    where fuente <> 'INE'
+    select zona as grupo, q.casa as residencia_id, fecha, year(fecha) * 100 + month(fecha) as fecha_id,
+           cast(year(fecha) as smallint) as anio, cast(month(fecha) as smallint) as mes,
+           cast(sum(q.v) as bigint) as viajeros, cast(sum(q.n) as bigint) as pernoctaciones
+    from ocupacion, unnest([{{'casa': 'espana', 'v': vr, 'n': pr}}, {{'casa': 'extranjero', 'v': vn, 'n': pn}}]) as u(q)
+    group by zona, q.casa, fecha
 )"""
 WITH_BASES = (
-    f"{WITH_STAR}, {BASES_SQL}, {complete_years_sql('regional', 'grupo', 'anios_ine')}, "
+    f"with {OFFICE_SQL}, {PORTAL_SQL}, {BASES_SQL}, {complete_years_sql('regional', 'grupo', 'anios_ine')}, "
     f"{complete_years_sql('por_zona', 'grupo', 'anios_mt')}"
 )
 #: Rows of both bases in their complete years.
