@@ -107,39 +107,41 @@ def without_lines(text: Column, lost: Column) -> Column:
     )
 
 
-def frequent_lines(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits) -> DataFrame:
-    """Lines above the limits: host, lh and the smallest id, whose document keeps the line.
+def line_candidates(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits) -> DataFrame:
+    """Lines whose rows are above the limits: host, lh and host_docs. Repeated rows of a document count each
+    here, so no line that is above the limits by distinct documents is missing.
 
-    A document counts once for a line however often it has it; counts are combined in each task before
-    the exchange. NULL is a host of its own. Small counts go before the join with the hosts' totals.
+    Counts are combined in each task before the exchange. NULL is a host of its own. Small counts go before
+    the join with the hosts' totals.
     """
     host = F.col(host_col).cast("string")
     counted = (
         docs.select(
-            F.col(id_col).alias("id"),
             host.alias("host"),
             F.explode(F.array_distinct(F.transform(_lines(F.col(text_col)), lambda x: F.xxhash64(x)))).alias("lh"),
         )
         .groupBy("host", "lh")
-        .agg(F.count("*").alias("n"), F.min("id").alias("first_id"))
+        .agg(F.count("*").alias("n"))
         .where(F.col("n") >= limits.min_docs)
     )
     hosts = docs.groupBy(host.alias("h")).agg(F.count("*").alias("host_docs"))
     return (
         counted.join(hosts, F.col("host").eqNullSafe(F.col("h")))
         .where(100 * F.col("n") > limits.max_share_pct * F.col("host_docs"))
-        .select("host", "lh", "first_id")
+        .select("host", "lh", "host_docs")
     )
 
 
 def removals(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits: Limits) -> DataFrame:
     """Per document that loses lines: id, tk, n_words, removed_words, lost (hashes of the lines), depleted.
 
-    The document with the smallest id of a host keeps the line, so that one whole copy of any passage
-    survives. Repeated rows (same id and text) share one result.
+    A document counts once for a line however often it has it and however often its row repeats; rows without
+    an id count for none. Only the lines of the candidates are written for that, not the texts. The document
+    with the smallest id of a host keeps the line, so that one whole copy of any passage survives. Repeated
+    rows (same id and text) share one result.
     """
-    frequent = stage(frequent_lines(docs, id_col, text_col, host_col, limits)).select(
-        F.col("host").alias("f_host"), F.col("lh").alias("f_lh"), "first_id"
+    candidates = stage(line_candidates(docs, id_col, text_col, host_col, limits)).select(
+        F.col("host").alias("f_host"), F.col("lh").alias("f_lh"), "host_docs"
     )
     text = F.col(text_col)
     lines = docs.select(
@@ -151,7 +153,20 @@ def removals(docs: DataFrame, id_col: str, text_col: str, host_col: str, limits:
             "pos", "line"
         ),
     )
-    hit = lines.join(
+    found = stage(
+        lines.join(candidates, (F.col("line.lh") == F.col("f_lh")) & F.col("host").eqNullSafe(F.col("f_host"))).select(
+            "id", "tk", "host", "n_words", "pos", "line", "host_docs"
+        )
+    )
+    frequent = (
+        found.groupBy(F.col("host").alias("f_host"), F.col("line.lh").alias("f_lh"), "id")
+        .agg(F.max("host_docs").alias("host_docs"))
+        .groupBy("f_host", "f_lh")
+        .agg(F.count("id").alias("n"), F.min("id").alias("first_id"), F.max("host_docs").alias("host_docs"))
+        .where((F.col("n") >= limits.min_docs) & (100 * F.col("n") > limits.max_share_pct * F.col("host_docs")))
+        .select("f_host", "f_lh", "first_id")
+    )
+    hit = found.join(
         frequent,
         (F.col("line.lh") == F.col("f_lh"))
         & F.col("host").eqNullSafe(F.col("f_host"))

@@ -33,20 +33,19 @@ def base(text):
 def keepers(rows, limits):
     """Positions of the rows (id, text, host) that pass the quality rules."""
     norm = [[" ".join(WORD.findall(x)).lower() for x in (t or "").split("\n") if WORD.search(x)] for _, t, _ in rows]
-    docs, first, hosts = Counter(), {}, Counter(h for *_, h in rows)
+    ids, first, hosts = defaultdict(set), {}, Counter(h for *_, h in rows)
     for (i, _, h), lines in zip(rows, norm, strict=True):
-        for x in set(lines):
-            docs[h, x] += 1
-            if i is not None:
-                first[h, x] = min(i, first.get((h, x), i))
+        for x in set(lines) if i is not None else ():
+            ids[h, x].add(i)
+            first[h, x] = min(i, first.get((h, x), i))
     out = []
     for k, ((i, t, h), lines) in enumerate(zip(rows, norm, strict=True)):
         n = len(words(t))
         gone = sum(
             len(x.split(" "))
             for x in lines
-            if docs[h, x] >= limits.min_docs
-            and 100 * docs[h, x] > limits.max_share_pct * hosts[h]
+            if len(ids[h, x]) >= limits.min_docs
+            and 100 * len(ids[h, x]) > limits.max_share_pct * hosts[h]
             and first.get((h, x)) != i
         )
         depleted = gone and (n - gone < limits.min_left_words or 100 * (n - gone) < limits.min_left_pct * n)

@@ -93,6 +93,20 @@ def test_lines_above_the_limits_leave_the_text(spark):
     assert got == {i: (t, len(t)) for i, t in want.items()}
 
 
+def test_repeated_rows_are_one_document_of_a_line(spark):
+    line = "this line stands in two documents that repeat many times"
+    own = "and these are more than ten words of the one document which has number"
+    rows = [(i, f"{line}\n{own} {i}", "host") for i, n in ((1, 15), (2, 10)) for _ in range(n)]
+    rows += [(None, f"{line}\n{own} none", "host")] * 5
+    got = quality_rules.judge(table(spark, rows)).collect()
+    assert len(got) == 30 and all(r["removed_words"] == 0 and r["kept"] for r in got)
+    rows += [(i, f"{line}\n{own} {i}", "host") for i in range(3, 21)]
+    got = quality_rules.judge(table(spark, rows)).collect()
+    assert {(r["doc_id"], r["removed_words"]) for r in got} == {(None, 10), (1, 0), *((i, 10) for i in range(2, 21))}
+    clean = {r["doc_id"]: r["text"] for r in quality_rules.keep_good(table(spark, rows)).collect()}
+    assert clean == {None: f"{own} none", 1: f"{line}\n{own} 1", **{i: f"{own} {i}" for i in range(2, 21)}}
+
+
 def test_exact_classes(docs):
     want = brute.exact([r[:2] for r in corpus()])
     got = exact_dedup.classes(docs).collect()

@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import zlib
 
+import duckdb
 import pytest
 
 import __spark_entry__ as entry
@@ -20,6 +21,18 @@ def test_query_equals_sql(spark, duck, small_dir, name):
     assert compare(spark, duck, name, queries.QUERIES[name], oracle.ORACLE[name], small_dir) is None
 
 
+def test_quality_query_equals_sql_where_lines_go(spark, tmp_path):
+    line = "One line that stands in many documents of a host"
+    rows = corpus(5, 60) + [(500 + i, f"{line}\n{'own words here ' * (i % 9)}{i}", "ab"[i % 2]) for i in range(90)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    docs.repartition(4).write.parquet(str(tmp_path / "documents.parquet"))
+    with duckdb.connect() as con:
+        con.sql(f"create view documents as from read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+        name = "op1_quality_rules"
+        assert compare(spark, con, name, queries.QUERIES[name], oracle.ORACLE[name], str(tmp_path)) is None
+    assert queries.QUERIES[name](spark, str(tmp_path)).where("removed_words > 0").count() > 40
+
+
 def test_one_query_per_operator():
     numbers = sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES)
     assert numbers == list(range(1, 14))
