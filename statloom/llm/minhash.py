@@ -26,23 +26,18 @@ SIMILARITY_PCT = 80
 PERMUTATIONS = 128
 BAND_ROWS = 6
 #: First rounds with one hub a bucket: most of a group of copies is connected with few comparisons.
-SINGLE_ROUNDS = 4
+SINGLE_ROUNDS = 2
 #: Members of a bucket that its other members are compared with in one later round.
 HUBS = 16
-#: A bucket of more members that one hub has not joined is split by further bands.
-CROWD = 64
-#: Further bands that a crowded bucket is split by, each on its own. A pair at 0.8 has no two bands among
-#: its common ones within this distance with probability 0.008.
-SPLITS = 3
-#: How often a bucket is split; what is crowded after that is compared hub by hub to the end.
-LEVELS = 3
+#: A bucket of more members that one hub a round has not joined is compared as a whole, in blocks.
+CROWD = HUBS
+#: Shingles of the members of one block; a task holds two blocks.
+BLOCK_SHINGLES = 1 << 17
 #: Standard deviations by which the estimate of a pair may fall short of the similarity asked for.
 SLACK = 4.2
-#: Permutations of the finer sketches of nodes in crowded buckets, and deviations that these may fall short by.
-FINE_PERMUTATIONS = 512
-FINE_SLACK = 2.5
 
 _CHUNK = 8192
+_WIDE = 4096
 _FOLD = bytes(range(65)) + bytes(range(97, 123)) + bytes(range(91, 256))
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
@@ -191,21 +186,6 @@ def _hubs(members: DataFrame, hubs: int, sketched: list[str]) -> DataFrame:
     )
 
 
-def _fine(texts: DataFrame, nodes: DataFrame, sets: DataFrame, width: int, sketched: list[str]) -> DataFrame:
-    """Finer sketches of some nodes, f0, f1, … in the place of s0, s1, …, and their band keys."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = [sketch(signature(shingles(t.as_py(), width), FINE_PERMUTATIONS)) for t in batch.column(1)]
-            words = np.array(found, np.uint64).reshape(len(found), len(sketched))
-            columns = [_long(np.ascontiguousarray(w)) for w in words.T]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["r", *(f"f_{s}" for s in sketched)])
-
-    some = texts.join(nodes, "node", "left_semi").select("node", "text")
-    words = some.mapInArrow(run, "r long" + "".join(f", f_{s} long" for s in sketched))
-    return words.join(sets.select("row", "bands"), F.col("r") == F.col("row")).drop("row")
-
-
 def _apart(sketched: list[str]) -> Column:
     """In how many values two sketches differ."""
     odd = F.lit(0x5555555555555555)
@@ -225,22 +205,88 @@ def _proposals(members: DataFrame, chosen: DataFrame, similarity_pct: int, apart
     return near.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
 
 
+def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
+    """Sizes of the intersections of every set of one list with every set of the other."""
+    lengths = np.array([len(s) for s in [*one, *other]])
+    code = np.unique(np.concatenate([*one, *other]), return_inverse=True)[1]
+    owner, common = np.repeat(np.arange(len(lengths)), lengths), np.bincount(code)[code] > 1
+    code, owner = np.unique(code[common], return_inverse=True)[1], owner[common]
+    order = np.argsort(code, kind="stable")
+    code, owner = code[order], owner[order]
+    total = np.zeros((len(one), len(other)), np.float32)
+    cuts = np.searchsorted(code, np.arange(0, code[-1] + _WIDE + 1, _WIDE)) if len(code) else []
+    for first, stop in zip(cuts[:-1], cuts[1:], strict=True):
+        has = np.zeros((len(lengths), _WIDE), np.float32)
+        has[owner[first:stop], code[first:stop] % _WIDE] = 1
+        total += has[: len(one)] @ has[len(one) :].T
+    return total.astype(np.int64)
+
+
+def _joined(one: list[np.ndarray], other: list[np.ndarray], similarity_pct: int) -> np.ndarray:
+    """Per set of both lists the first one that it is connected with over links from list to list."""
+    both = _shared(one, other)
+    sizes = np.array([len(s) for s in one])[:, None] + np.array([len(s) for s in other])
+    linked = 100 * both >= similarity_pct * (sizes - both)
+    root = np.arange(len(one) + len(other))
+    while True:
+        a, b = root[: len(one)], root[len(one) :]
+        a = np.minimum(a, np.where(linked, b, len(root)).min(axis=1))
+        b = np.minimum(b, np.where(linked, a[:, None], len(root)).min(axis=0))
+        now = np.concatenate([a, b])
+        if (now == root).all():
+            return root
+        root = now
+
+
 def _crowded(members: DataFrame) -> DataFrame:
-    """Buckets of more than ``CROWD`` members that can be split once more."""
-    sizes = members.where(F.col("level") < LEVELS).groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("n"))
-    return sizes.where(F.col("n") > CROWD).select("k")
-
-
-def _split(members: DataFrame, crowded: DataFrame, fine: DataFrame, sketched: list[str]) -> DataFrame:
-    """Crowded buckets give way to their parts: members that also share one of the next ``SPLITS`` bands.
-    A pair of similar texts shares many bands, so some part holds it."""
-    inside = members.join(crowded, F.col("bucket") == F.col("k"), "left_semi").join(fine, F.col("node") == F.col("r"))
-    place = F.pmod(F.col("band") + F.col("j"), F.size("bands"))
-    parts = inside.withColumn("j", F.explode(F.sequence(F.lit(1), F.lit(SPLITS)))).select(
-        F.xxhash64("bucket", F.get("bands", place)).alias("bucket"), place.alias("band"), (F.col("level") + 1).alias("level"),
-        "node", "size", "central", "label", *(F.col(f"f_{s}").alias(s) for s in sketched),
+    """Buckets of more than ``CROWD`` members."""
+    sizes = members.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("n"))
+    return sizes.where(F.col("n") > CROWD)
+
+
+def _blocks(inside: DataFrame) -> DataFrame:
+    """Members of crowded buckets dealt to blocks: node, size, label, block. A node goes with the largest
+    bucket that it is in, whose nodes are cut by size."""
+    homes = inside.groupBy("node", "size", "label").agg(F.max(F.struct("n", "bucket"))["bucket"].alias("home"))
+    running = F.sum("size").over(Window.partitionBy("home").orderBy("size", "node").rowsBetween(Window.unboundedPreceding, -1))
+    cut = F.floor(F.coalesce(running, F.lit(0)) / BLOCK_SHINGLES)
+    return homes.select("node", "size", "label", F.xxhash64("home", cut).alias("block"))
+
+
+def _block_links(inside: DataFrame, texts: DataFrame, width: int, similarity_pct: int) -> DataFrame:
+    """Links (a, b) that connect all members of crowded buckets with a link between them. Two blocks that meet
+    in a bucket are compared once, set by set, unless no sizes fit or one label is left."""
+    blocks = stage(_blocks(inside))
+    bounds = blocks.groupBy("block").agg(
+        F.min("size").alias("lo"), F.max("size").alias("hi"), F.min("label").alias("first"), F.max("label").alias("last")
     )
-    return members.join(crowded, F.col("bucket") == F.col("k"), "left_anti").unionByName(_still_mixed(stage(parts)))
+    met = inside.select("bucket", "node").join(blocks.select("node", "block"), "node").select("bucket", "block").distinct()
+    met = stage(met.join(bounds, "block"))
+    other = met.select(F.col("bucket").alias("o_bucket"), *(F.col(c).alias(f"o_{c}") for c in ("block", "lo", "hi", "first", "last")))
+    fits = (100 * F.col("hi") >= similarity_pct * F.col("o_lo")) & (100 * F.col("o_hi") >= similarity_pct * F.col("lo"))
+    joins = F.least("first", "o_first") < F.greatest("last", "o_last")
+    same = (F.col("bucket") == F.col("o_bucket")) & (F.col("block") <= F.col("o_block"))
+    pairs = stage(met.join(other, same & fits & joins).select(F.col("block").alias("x"), F.col("o_block").alias("y")).distinct())
+    rows = texts.join(blocks.select("node", "block"), "node")
+
+    def compare(table: pa.Table) -> pa.Table:
+        nodes, side = table.column("node").to_numpy(), table.column("side").to_numpy()
+        sets = [shingles(t.as_py(), width) for t in table.column("text")]
+        one, two = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        if not len(two):
+            two = one
+        order = np.concatenate([one, two])
+        root = order[_joined([sets[k] for k in one], [sets[k] for k in two], similarity_pct)]
+        far = nodes[root] != nodes[order]
+        a, b = nodes[root][far], nodes[order][far]
+        return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
+
+    sides = (("x", F.lit(True)), ("y", F.col("x") < F.col("y")))
+    dealt = [
+        pairs.where(some).join(rows, F.col(c) == F.col("block")).select("x", "y", F.lit(k).alias("side"), "node", "text")
+        for k, (c, some) in enumerate(sides)
+    ]
+    return dealt[0].union(dealt[1]).groupBy("x", "y").applyInArrow(compare, "a long, b long").distinct()
 
 
 def _labels(links: DataFrame) -> DataFrame:
@@ -251,6 +297,12 @@ def _labels(links: DataFrame) -> DataFrame:
     return next_.groupBy(F.col("a").alias("l_node")).agg(F.min("m").alias("l"))
 
 
+def _relabelled(state: DataFrame, links: DataFrame) -> DataFrame:
+    return state.join(_labels(links), F.col("node") == F.col("l_node"), "left").select(
+        *(c for c in state.columns if c != "label"), F.coalesce("l", "label").alias("label")
+    )
+
+
 def near_duplicates(
     docs: DataFrame,
     id_col: str = "doc_id",
@@ -268,15 +320,12 @@ def near_duplicates(
     the smallest id (NULL ids last). Texts without words are linked with nothing; repeated rows are one
     class; an empty table gives an empty result. Other columns are not read.
 
-    Of a crowded bucket only members with further bands in common are compared, so that pairs grow with the
-    members and not with their square. ``exhaustive`` compares all members of a bucket that are not
-    connected yet, whatever their sketches: the exact way for every pair that shares a band.
+    Members of a crowded bucket are compared by their whole sets, block by block, so that only texts of blocks
+    and links move. ``exhaustive`` compares all members of a smaller bucket that are not connected yet, whatever
+    their sketches.
     """
-    plain = [f"s{k}" for k in range(-(-2 * permutations // 32))]
-    sketched = [f"s{k}" for k in range(max(len(plain), -(-2 * FINE_PERMUTATIONS // 32)))]
-    apart = F.when(F.col("level") == 0, most_apart(permutations, similarity_pct)).otherwise(
-        most_apart(FINE_PERMUTATIONS, similarity_pct, FINE_SLACK)
-    )
+    sketched = [f"s{k}" for k in range(-(-2 * permutations // 32))]
+    apart = F.lit(most_apart(permutations, similarity_pct))
     if exhaustive:
         apart = F.lit(32 * len(sketched))
     rows = stage(signatures(docs, id_col, text_col, width, permutations, band_rows))
@@ -284,16 +333,12 @@ def near_duplicates(
     worded = rows.where("n_shingles > 0")
     heads = stage(worded.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("node")))
     sets = worded.join(heads.select(F.col("node").alias("h")), F.col("row") == F.col("h"), "left_semi")
-    buckets = sets.select(
-        F.col("row").alias("node"), F.col("n_shingles").alias("size"), *plain, F.posexplode("bands").alias("band", "bucket")
-    )
+    buckets = sets.select(F.col("row").alias("node"), F.col("n_shingles").alias("size"), *sketched, F.explode("bands").alias("bucket"))
     shared = buckets.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(buckets.join(shared, F.col("bucket") == F.col("k")).select("bucket", "band", "node", "size", "n", *plain))
+    shared = stage(buckets.join(shared, F.col("bucket") == F.col("k")).select("bucket", "node", "size", "n", *sketched))
     weight = shared.groupBy(F.col("node").alias("c_node")).agg(F.sum("n").alias("central"))
     members = stage(
-        shared.join(weight, F.col("node") == F.col("c_node")).select(
-            "bucket", "band", F.lit(0).alias("level"), "node", "size", "central", *plain, *(F.lit(0).cast("long").alias(s) for s in sketched[len(plain):])
-        )
+        shared.join(weight, F.col("node") == F.col("c_node")).select("bucket", "node", "size", "central", *sketched)
     )
 
     nodes = members.select("node").distinct()
@@ -307,14 +352,14 @@ def near_duplicates(
         .dropDuplicates(["node"])
     )
     # Every round the hubs of a bucket are compared with its members of other labels and leave it. A bucket
-    # ends when one label is left: by then every pair was compared, is connected or is ruled out.
+    # ends when one label is left: by then every pair was compared, is connected or is ruled out. Buckets that
+    # one hub a round leaves crowded are compared as a whole.
     state = members.withColumn("label", F.col("node"))
     tried: DataFrame | None = None
     links: DataFrame | None = None
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
     round_no = 0
-    split = exhaustive
     while not state.isEmpty():
         # One hub settles most buckets; what is left goes on with several at a time.
         round_no += 1
@@ -329,17 +374,17 @@ def near_duplicates(
         state = state.join(chosen, gone, "left_anti")
         if not found.isEmpty():
             links = found if links is None else links.union(found)
-            state = state.join(_labels(links), F.col("node") == F.col("l_node"), "left").select(
-                *(c for c in state.columns if c != "label"), F.coalesce("l", "label").alias("label")
-            )
+            state = _relabelled(state, links)
         state = stage(_still_mixed(state))
-        if round_no == SINGLE_ROUNDS and not split:
+        if round_no == SINGLE_ROUNDS:
             # Buckets only lose members from here on: none becomes crowded later.
-            split = True
-            inside = state.join(_crowded(state), F.col("bucket") == F.col("k"), "left_semi").select("node").distinct()
-            fine = stage(_fine(texts, inside, sets, width, sketched))
-            while not (crowded := stage(_crowded(state))).isEmpty():
-                state = stage(_split(state, crowded, fine, sketched))
+            crowded = stage(_crowded(state))
+            if not crowded.isEmpty():
+                inside = state.join(crowded, F.col("bucket") == F.col("k")).select("bucket", "n", "node", "size", "label")
+                found = stage(_block_links(stage(inside), texts, width, similarity_pct))
+                links = found if links is None else links.union(found)
+                state = state.join(crowded, F.col("bucket") == F.col("k"), "left_anti")
+                state = stage(_still_mixed(_relabelled(state, links)))
     roots = None if links is None else components(links)
     classes = heads.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.col("n_shingles").alias("cn"), F.col("node").alias("head"))
     same = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") == F.col("cn"))

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
 import pytest
 
 from statloom.llm import exact_dedup, license_scan, minhash, mixing, packing, quality_rules, suffix_dedup
@@ -404,3 +405,19 @@ def test_crowded_bucket_components_equal_brute_force(spark):
         docs = spark.createDataFrame(some, "doc_id long, text string")
         found = minhash.near_duplicates(docs, exhaustive=exhaustive).collect()
         assert {r["doc_id"]: r["component_id"] for r in found} == brute.near(some, 5)
+
+
+def test_block_comparison_equals_sets():
+    rng = np.random.default_rng(5)
+    sets = [np.unique(rng.integers(0, 60, rng.integers(1, 60))).astype(np.uint64) for _ in range(40)]
+    sets += [np.arange(9000, dtype=np.uint64), np.arange(1000, 9001, dtype=np.uint64)]
+    one, other = sets[::2], sets[1::2]
+    assert minhash._shared(one, other).tolist() == [[len(np.intersect1d(a, b)) for b in other] for a in one]
+    root = minhash._joined(one, other, 80)
+    for i, a in enumerate(one):
+        for j, b in enumerate(other, len(one)):
+            both = len(np.intersect1d(a, b))
+            if 100 * both >= 80 * (len(a) + len(b) - both):
+                assert root[i] == root[j]
+    assert root[len(one) - 1] == root[-1]
+    assert all(r <= k for k, r in enumerate(root))
