@@ -25,12 +25,8 @@ SIMILARITY_PCT = 80
 #: 128 permutations give 256 values: 42 bands of 6. A pair at 0.8 is missed with probability 3e-6.
 PERMUTATIONS = 128
 BAND_ROWS = 6
-#: First rounds with one hub a bucket: most of a group of copies is connected with few comparisons.
-SINGLE_ROUNDS = 2
-#: Members of a bucket that its other members are compared with in one later round.
-HUBS = 16
-#: A bucket of more members that one hub a round has not joined is compared as a whole, in blocks.
-CROWD = HUBS
+#: A bucket of more members that its hub has not joined is compared as a whole, in blocks.
+CROWD = 16
 #: Shingles of the members of one block; a task holds two blocks.
 BLOCK_SHINGLES = 1 << 17
 #: Standard deviations by which the estimate of a pair may fall short of the similarity asked for.
@@ -162,30 +158,6 @@ def confirmed(pairs: DataFrame, width: int, similarity_pct: int) -> DataFrame:
     return pairs.select("a", "b", "a_text", "b_text").mapInArrow(run, "a long, b long")
 
 
-def _still_mixed(members: DataFrame) -> DataFrame:
-    """Members of the buckets that still join different labels."""
-    mixed_buckets = (
-        members.groupBy(F.col("bucket").alias("k")).agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo <> hi")
-    )
-    return members.join(mixed_buckets.select("k"), F.col("bucket") == F.col("k"), "left_semi")
-
-
-def _hubs(members: DataFrame, hubs: int, sketched: list[str]) -> DataFrame:
-    """In each bucket the most central node of each of the ``hubs`` most frequent labels: the original of
-    many edited copies shares more buckets with them than they share among each other."""
-    lead = F.struct("central", "node", "size", *sketched)
-    leads = members.groupBy("bucket", "label").agg(F.count("*").alias("n"), F.max(lead).alias("lead"))
-    if hubs == 1:
-        leads = leads.groupBy("bucket").agg(F.max(F.struct("n", "lead", "label")).alias("x")).select("bucket", "x.*")
-    else:
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(F.col("n").desc(), F.col("lead").desc()))
-        leads = leads.withColumn("rank", rank).where(F.col("rank") <= hubs)
-    return leads.select(
-        F.col("bucket").alias("h_bucket"), F.col("label").alias("h_label"), F.col("lead.node").alias("hub"),
-        F.col("lead.size").alias("h_size"), *(F.col(f"lead.{s}").alias(f"h_{s}") for s in sketched),
-    )
-
-
 def _apart(sketched: list[str]) -> Column:
     """In how many values two sketches differ."""
     odd = F.lit(0x5555555555555555)
@@ -196,13 +168,41 @@ def _apart(sketched: list[str]) -> Column:
     return total
 
 
-def _proposals(members: DataFrame, chosen: DataFrame, similarity_pct: int, apart: Column, sketched: list[str]) -> DataFrame:
-    """Pairs of a hub and another member of another label whose set sizes allow a link at all and whose
-    sketches do not rule it out."""
+def _near(similarity_pct: int, apart: Column, sketched: list[str]) -> Column:
+    """Whether set sizes allow a link at all and sketches do not rule it out."""
     fits = 100 * F.least("size", "h_size") >= similarity_pct * F.greatest("size", "h_size")
-    same = (F.col("bucket") == F.col("h_bucket")) & (F.col("label") != F.col("h_label"))
-    near = members.join(chosen, same & fits & (_apart(sketched) <= apart))
-    return near.select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")).distinct()
+    return fits & (_apart(sketched) <= apart)
+
+
+def _with_hubs(members: DataFrame, near: Column, sketched: list[str]) -> DataFrame:
+    """Members of buckets but for the hub of each, with it and whether the two may have a link. The hub is the
+    most central node: the original of many edited copies shares more buckets with them than they share
+    among each other."""
+    lead = F.max(F.struct("central", "node", "size", *sketched)).alias("lead")
+    hubs = members.groupBy(F.col("bucket").alias("h_bucket")).agg(lead).select(
+        "h_bucket", F.col("lead.node").alias("hub"), F.col("lead.size").alias("h_size"),
+        *(F.col(f"lead.{s}").alias(f"h_{s}") for s in sketched),
+    )
+    met = members.join(hubs, (F.col("bucket") == F.col("h_bucket")) & (F.col("node") != F.col("hub")))
+    return met.select("bucket", "node", "size", *sketched, "hub", near.alias("near"))
+
+
+def _mixed(state: DataFrame) -> DataFrame:
+    """Members of the buckets that still join different labels, with their number ``n``."""
+    buckets = state.groupBy(F.col("bucket").alias("k")).agg(
+        F.count("*").alias("n"), F.min("label").alias("lo"), F.max("label").alias("hi")
+    )
+    return state.join(buckets.where("lo <> hi").select("k", "n"), F.col("bucket") == F.col("k")).drop("k")
+
+
+def _pairs_within(members: DataFrame, near: Column, sketched: list[str]) -> DataFrame:
+    """All pairs of members of one bucket with different labels that may have a link."""
+    other = members.select(
+        F.col("bucket").alias("h_bucket"), F.col("node").alias("hub"), F.col("size").alias("h_size"), F.col("label").alias("h_label"),
+        *(F.col(s).alias(f"h_{s}") for s in sketched),
+    )
+    same = (F.col("bucket") == F.col("h_bucket")) & (F.col("node") < F.col("hub")) & (F.col("label") != F.col("h_label"))
+    return members.join(other, same & near).select(F.col("node").alias("a"), F.col("hub").alias("b")).distinct()
 
 
 def _shared(one: list[np.ndarray], other: list[np.ndarray]) -> np.ndarray:
@@ -238,12 +238,6 @@ def _joined(one: list[np.ndarray], other: list[np.ndarray], similarity_pct: int)
         root = now
 
 
-def _crowded(members: DataFrame) -> DataFrame:
-    """Buckets of more than ``CROWD`` members."""
-    sizes = members.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("n"))
-    return sizes.where(F.col("n") > CROWD)
-
-
 def _blocks(inside: DataFrame) -> DataFrame:
     """Members of crowded buckets dealt to blocks: node, size, label, block. A node goes with the largest
     bucket that it is in, whose nodes are cut by size."""
@@ -297,9 +291,9 @@ def _labels(links: DataFrame) -> DataFrame:
     return next_.groupBy(F.col("a").alias("l_node")).agg(F.min("m").alias("l"))
 
 
-def _relabelled(state: DataFrame, links: DataFrame) -> DataFrame:
+def _labelled(state: DataFrame, links: DataFrame) -> DataFrame:
     return state.join(_labels(links), F.col("node") == F.col("l_node"), "left").select(
-        *(c for c in state.columns if c != "label"), F.coalesce("l", "label").alias("label")
+        *state.columns, F.coalesce("l", "node").alias("label")
     )
 
 
@@ -321,8 +315,8 @@ def near_duplicates(
     class; an empty table gives an empty result. Other columns are not read.
 
     Members of a crowded bucket are compared by their whole sets, block by block, so that only texts of blocks
-    and links move. ``exhaustive`` compares all members of a smaller bucket that are not connected yet, whatever
-    their sketches.
+    and links move. ``exhaustive`` compares hubs with members, and all members of a smaller bucket that hubs
+    have not connected, whatever their sketches.
     """
     sketched = [f"s{k}" for k in range(-(-2 * permutations // 32))]
     apart = F.lit(most_apart(permutations, similarity_pct))
@@ -333,12 +327,15 @@ def near_duplicates(
     worded = rows.where("n_shingles > 0")
     heads = stage(worded.groupBy("d1", "d2", "n_shingles").agg(F.min("row").alias("node")))
     sets = worded.join(heads.select(F.col("node").alias("h")), F.col("row") == F.col("h"), "left_semi")
-    buckets = sets.select(F.col("row").alias("node"), F.col("n_shingles").alias("size"), *sketched, F.explode("bands").alias("bucket"))
+    buckets = sets.select(F.col("row").alias("node"), F.col("n_shingles").alias("size"), F.explode("bands").alias("bucket"))
     shared = buckets.groupBy(F.col("bucket").alias("k")).agg(F.count("*").alias("n")).where("n > 1")
-    shared = stage(buckets.join(shared, F.col("bucket") == F.col("k")).select("bucket", "node", "size", "n", *sketched))
-    weight = shared.groupBy(F.col("node").alias("c_node")).agg(F.sum("n").alias("central"))
+    shared = buckets.join(shared, F.col("bucket") == F.col("k"))
+    central = F.sum("n").over(Window.partitionBy("node"))
+    words = rows.select(F.col("row").alias("s_node"), *sketched)
     members = stage(
-        shared.join(weight, F.col("node") == F.col("c_node")).select("bucket", "node", "size", "central", *sketched)
+        shared.select("bucket", "node", "size", central.alias("central"))
+        .join(words, F.col("node") == F.col("s_node"))
+        .drop("s_node")
     )
 
     nodes = members.select("node").distinct()
@@ -351,40 +348,28 @@ def near_duplicates(
         .select("node", "text")
         .dropDuplicates(["node"])
     )
-    # Every round the hubs of a bucket are compared with its members of other labels and leave it. A bucket
-    # ends when one label is left: by then every pair was compared, is connected or is ruled out. Buckets that
-    # one hub a round leaves crowded are compared as a whole.
-    state = members.withColumn("label", F.col("node"))
-    tried: DataFrame | None = None
-    links: DataFrame | None = None
+    # Each bucket's hub is compared with its other members and leaves it; a bucket where one label is left has
+    # no more to find. All pairs of the others are compared, in blocks where a bucket is crowded: every pair of
+    # a bucket was compared, is connected or is ruled out.
     left = texts.select(F.col("node").alias("a"), F.col("text").alias("a_text"))
     right = texts.select(F.col("node").alias("b"), F.col("text").alias("b_text"))
-    round_no = 0
-    while not state.isEmpty():
-        # One hub settles most buckets; what is left goes on with several at a time.
-        round_no += 1
-        chosen = stage(_hubs(state, 1 if round_no <= SINGLE_ROUNDS else HUBS, sketched))
-        pairs = _proposals(state, chosen, similarity_pct, apart, sketched)
-        if tried is not None:
-            pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = stage(pairs)
-        tried = pairs if tried is None else tried.union(pairs)
-        found = stage(confirmed(pairs.join(left, "a").join(right, "b"), width, similarity_pct))
-        gone = (F.col("bucket") == F.col("h_bucket")) & (F.col("node") == F.col("hub"))
-        state = state.join(chosen, gone, "left_anti")
-        if not found.isEmpty():
-            links = found if links is None else links.union(found)
-            state = _relabelled(state, links)
-        state = stage(_still_mixed(state))
-        if round_no == SINGLE_ROUNDS:
-            # Buckets only lose members from here on: none becomes crowded later.
-            crowded = stage(_crowded(state))
-            if not crowded.isEmpty():
-                inside = state.join(crowded, F.col("bucket") == F.col("k")).select("bucket", "n", "node", "size", "label")
-                found = stage(_block_links(stage(inside), texts, width, similarity_pct))
-                links = found if links is None else links.union(found)
-                state = state.join(crowded, F.col("bucket") == F.col("k"), "left_anti")
-                state = stage(_still_mixed(_relabelled(state, links)))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        return stage(confirmed(pairs.join(left, "a").join(right, "b"), width, similarity_pct))
+
+    links: DataFrame | None = None
+    near = _near(similarity_pct, apart, sketched)
+    state = stage(_with_hubs(members, near, sketched))
+    if not state.isEmpty():
+        pairs = state.where("near").select(F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b"))
+        tried = stage(pairs.distinct())
+        links = linked(tried)
+        state = stage(_mixed(stage(_labelled(state.drop("hub", "near"), links))))
+        inside, rest = state.where(F.col("n") > CROWD), state.where(F.col("n") <= CROWD)
+        if not inside.isEmpty():
+            links = links.union(stage(_block_links(inside, texts, width, similarity_pct)))
+        if not rest.isEmpty():
+            links = links.union(linked(_pairs_within(rest, near, sketched).join(tried, ["a", "b"], "left_anti")))
     roots = None if links is None else components(links)
     classes = heads.select(F.col("d1").alias("c1"), F.col("d2").alias("c2"), F.col("n_shingles").alias("cn"), F.col("node").alias("head"))
     same = (F.col("d1") == F.col("c1")) & (F.col("d2") == F.col("c2")) & (F.col("n_shingles") == F.col("cn"))

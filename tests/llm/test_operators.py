@@ -157,6 +157,18 @@ def test_chains_of_links_beyond_the_hub(spark):
     assert {r["doc_id"]: r["component_id"] for r in got.collect()} == want
 
 
+def test_tables_written_do_not_grow_with_the_links_of_a_chain(spark, monkeypatch):
+    """One pass finds what hubs leave; a round of its own for every few links writes more and more tables."""
+    written, stage = [], minhash.stage
+    monkeypatch.setattr(minhash, "stage", lambda df: written.append(1) or stage(df))
+    rng = random.Random(5)
+    words = [f"w{rng.randrange(10**9)}" for _ in range(400)]
+    rows = [(i, " ".join(words[i * 6 : i * 6 + 100]), "a") for i in range(40)]
+    got = minhash.near_duplicates(table(spark, rows), width=2)
+    assert {r["doc_id"]: r["component_id"] for r in got.collect()} == brute.near([r[:2] for r in rows], 2)
+    assert len(written) <= 17
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(30)] + [(100, k) for k in range(101, 140)] + [(200, 201), (201, 200), (300, 300)]
     got = {r["node"]: r["root"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
