@@ -16,6 +16,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -27,24 +28,11 @@ END_ID = 1
 PART_PIECES = 50_000
 ROUNDS = 3
 #: Words whose ids a Python worker remembers before it starts again.
-KNOWN_WORDS = 500_000
+KNOWN_WORDS = 1_000_000
 #: New words that are encoded as one text; where one word ends is seen from the tokens.
-JOINED_WORDS = 2000
-#: Token ids after which a task hands on what it has encoded.
-BATCH_IDS = 1 << 20
-
-
-class _Words(dict):
-    """Numbers words in the order they come; new ones are also kept in ``new``."""
-
-    def __init__(self) -> None:
-        super().__init__()
-        self.new: list[str] = []
-
-    def __missing__(self, word: str) -> int:
-        self.new.append(word)
-        number = self[word] = len(self)
-        return number
+JOINED_WORDS = 500
+#: Bytes of text that are encoded at once; a longer text is encoded alone.
+BATCH_BYTES = 1 << 22
 
 
 #: Letters, then ASCII marks but for the apostrophe: the tokenizer cuts such a word in two at most.
@@ -53,6 +41,8 @@ _PLAIN = re.compile(r"([^\W\d_]*)([!-&(-/:-@\[-`{-~]*)")
 
 def _pieces(word: str) -> int:
     """Into how many parts, each ending a word, the tokenizer cuts a plain word; 0 for other words."""
+    if word.isascii() and word.isalpha():
+        return 1
     found = _PLAIN.fullmatch(word)
     if not found:
         return 0
@@ -68,9 +58,30 @@ def _ragged(start: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.arange(stop[-1] if len(stop) else 0) + np.repeat(start - stop + size, size)
 
 
+def _text_ends(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """Bytes of texts that follow each other, and the position before the first and after every text."""
+    kind = np.int64 if pa.types.is_large_string(texts.type) else np.int32
+    _, offsets, data = texts.buffers()
+    ends = np.frombuffer(offsets, kind, len(texts) + 1, texts.offset * np.dtype(kind).itemsize).astype(np.int64)
+    return np.frombuffer(data or b"", np.uint8)[ends[0] : ends[-1]], ends - ends[0]
+
+
+def _words(data: np.ndarray, ends: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """Words of texts, without the blank or line feed that ends them, and how many there are up to the end of
+    every text."""
+    blank = (data == 32) | (data == 10)
+    last = blank.copy()
+    last[ends[1:][np.diff(ends) > 0] - 1] = True
+    stop = np.flatnonzero(last)
+    upto = np.searchsorted(stop, ends[1:])
+    offsets = np.concatenate([[0], stop + 1 - np.cumsum(blank[stop])])
+    return pa.LargeStringArray.from_buffers(len(stop), pa.py_buffer(offsets), pa.py_buffer(data[~blank])), upto
+
+
 class Encoder:
     """Token ids of texts. The tokenizer drops white space and looks at nothing across it, so a text's
-    ids are those of its words one after the other; ids of words met before are looked up."""
+    ids are those of its words one after the other; Arrow numbers the words of many texts at once, and
+    ids of words met before are looked up."""
 
     def __init__(self, path: str) -> None:
         from tokenizers import Tokenizer
@@ -82,10 +93,11 @@ class Encoder:
         self._forget()
 
     def _forget(self) -> None:
-        self.words, self.ids, self.ends = _Words(), np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        self.words = pa.array([], pa.large_string())
+        self.ids, self.ends = np.zeros(0, np.uint32), np.zeros(0, np.int64)
 
-    def _learn(self) -> None:
-        new = self.words.new
+    def _learn(self, words: pa.Array) -> None:
+        new = words.to_pylist()
         parts = np.array([_pieces(w) for w in new], np.int64)
         length, found = np.zeros(len(new), np.int64), []
         easy, hard = np.flatnonzero(parts), [np.flatnonzero(parts == 0)]
@@ -111,22 +123,25 @@ class Encoder:
         last = self.ends[-1] if len(self.ends) else 0
         self.ends = np.concatenate([self.ends, last + stop])
         self.ids = np.concatenate([self.ids, flat])
-        self.words.new = []
+        self.words = pa.concat_arrays([self.words, words])
 
-    def encode(self, texts: list[str]) -> list[np.ndarray]:
+    def encode(self, data: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts one after the other, and how many there are up to the end of every text."""
         if len(self.words) > KNOWN_WORDS:
             self._forget()
-        numbers = [
-            np.fromiter(map(self.words.__getitem__, t.replace("\n", " ").split(" ")), np.int64) for t in texts
-        ]
-        if self.words.new:
-            self._learn()
-        ends = self.ends
-        sizes = np.diff(ends, prepend=0)
-        out = []
-        for n in numbers:
-            out.append(self.ids[_ragged(ends[n] - sizes[n], sizes[n])])
-        return out
+        words, upto = _words(data, ends)
+        coded = words.dictionary_encode()
+        place = pc.index_in(coded.dictionary, value_set=self.words)
+        new = place.is_null()
+        numbers = place.fill_null(0).to_numpy().astype(np.int64)
+        if place.null_count:
+            numbers[new.to_numpy(zero_copy_only=False)] = len(self.words) + np.arange(place.null_count)
+            self._learn(coded.dictionary.filter(new))
+        stop = self.ends[numbers]
+        start = np.where(numbers > 0, self.ends[numbers - 1], 0)
+        which = coded.indices.to_numpy()
+        size = (stop - start)[which]
+        return self.ids[_ragged(start[which], size)], np.concatenate([[0], np.cumsum(size)])[upto]
 
 
 @lru_cache(maxsize=2)
@@ -145,34 +160,34 @@ def token_pieces(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = _encoder(tokenizer)
         for batch in batches:
-            texts = [t or "" for t in batch.column(2).to_pylist()]
-            owner, piece, length, crc, found, waiting = [], [], [], [], [], 0
-            for first in range(0, len(texts), 64):
-                for k, ids in enumerate(encoder.encode(texts[first : first + 64]), first):
-                    data = np.append(ids, np.uint32(end_id)).astype("<u4")
-                    found.append(data)
-                    waiting += len(data)
-                    for p, start in enumerate(range(0, len(data), capacity)):
-                        part = data[start : start + capacity]
-                        owner.append(k), piece.append(p), length.append(len(part))
-                        crc.append(zlib.crc32(part.tobytes()))
-                if waiting < BATCH_IDS and first + 64 < len(texts):
-                    continue
-                pieces, rows = np.array(piece, np.int32), pa.array(owner, pa.int64())
-                ends = np.cumsum([0, *length]).astype(np.int32)
+            texts = batch.column(2).fill_null("")
+            data, ends = _text_ends(texts)
+            first = 0
+            while first < len(texts):
+                after = max(first + 1, int(np.searchsorted(ends, ends[first] + BATCH_BYTES, side="right")) - 1)
+                ids, upto = encoder.encode(data[ends[first] : ends[after]], ends[first : after + 1] - ends[first])
+                ids = np.insert(ids, upto, end_id).astype("<u4", copy=False)
+                tokens = np.diff(upto, prepend=0) + 1
+                pieces = -(-tokens // capacity)
+                owner = np.repeat(np.arange(len(tokens)), pieces)
+                piece = np.arange(len(owner)) - np.repeat(np.cumsum(pieces) - pieces, pieces)
+                length = np.minimum(capacity, tokens[owner] - piece * capacity)
+                cuts = np.concatenate([[0], np.cumsum(length)])
+                crc = [zlib.crc32(ids[a:b]) for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+                rows = pa.array(first + owner)
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).take(rows),
                         batch.column(1).take(rows),
-                        pa.array(pieces),
-                        pa.array(pieces.astype(np.int64) * capacity),
-                        pa.array(length, pa.int64()),
-                        pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(found).astype(np.int32))),
+                        pa.array(piece.astype(np.int32)),
+                        pa.array(piece * capacity),
+                        pa.array(length),
+                        pa.ListArray.from_arrays(pa.array(cuts.astype(np.int32)), pa.array(ids.view("<i4"))),
                         pa.array(crc, pa.int64()),
                     ],
                     names=["id", "doc_row", "piece", "start", "length", "ids", "ids_crc32"],
                 )
-                owner, piece, length, crc, found, waiting = [], [], [], [], [], 0
+                first = after
 
     slim = docs.select(
         F.col(id_col).alias("id"), F.monotonically_increasing_id().alias("doc_row"), F.col(text_col).cast("string").alias("text")

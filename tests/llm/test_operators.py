@@ -295,6 +295,22 @@ def test_packing_of_odd_texts(spark):
     _packed_right(packing.pack(table(spark, [(i, t, "a") for i, t in rows]), TOKENIZER).collect(), rows, 4096)
 
 
+def test_words_of_many_texts_are_encoded_once():
+    """Texts are encoded together; a word counts as one whatever ends it, and is not encoded again."""
+    import pyarrow as pa
+
+    texts = ["", "one two\n\ntwo  don't ", "\n", "ΑΣ one", "é\u2003x a\u0085 two", None, " ", "x\r\ny\tz", ""]
+    encoder = packing.Encoder(TOKENIZER)
+    whole = [encoder.tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+    for kind in (pa.string(), pa.large_string()):
+        for first in (0, 1, 5, 8):
+            data, ends = packing._text_ends(pa.array(texts, kind).fill_null("")[first:])
+            ids, upto = encoder.encode(data, ends)
+            assert [part.tolist() for part in np.split(ids, upto)[:-1]] == whole[first:]
+    known = {w for t in texts for w in (t or "").replace("\n", " ").split(" ")}
+    assert sorted(encoder.words.to_pylist()) == sorted(known)
+
+
 def test_repeated_rows_are_packed_each(repeated):
     out = packing.pack(repeated, TOKENIZER).collect()
     assert len(out) == 6 and len({(r["sequence_id"], r["offset"]) for r in out}) == 6
